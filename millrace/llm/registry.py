@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import format_copies, repeated_lines
+from millrace.llm import format_copies, repeated_lines, sentence_bounds
 from millrace.sources import read_table
 
 
@@ -30,11 +30,22 @@ def p2_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_copies.collapse_contexts(read_table(spark, sf_dir, "contexts"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_bounds.find_sentences(_form(spark, sf_dir, "passage"))
+
+
+def p3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passages = _form(spark, sf_dir, "passage").select("ctx_id", "lang", "text")
+    return sentence_bounds.add_sentences(passages)
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_cleaned": p1_cleaned,
     "p2_found": p2_found,
     "p2_collapsed": p2_collapsed,
+    "p3_found": p3_found,
+    "p3_sentences": p3_sentences,
 }
 
 _P1_FOUND = """
