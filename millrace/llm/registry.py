@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import format_copies, repeated_lines, sentence_bounds
+from millrace.llm import format_copies, repeated_lines, scan_repair, sentence_bounds
 from millrace.sources import read_table
 
 
@@ -39,6 +39,14 @@ def p3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_bounds.add_sentences(passages)
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_repair.find_defects(_form(spark, sf_dir, "scan"))
+
+
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_repair.repair_scans(_form(spark, sf_dir, "scan").select("ctx_id", "text"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_cleaned": p1_cleaned,
@@ -46,6 +54,8 @@ QUERIES = {
     "p2_collapsed": p2_collapsed,
     "p3_found": p3_found,
     "p3_sentences": p3_sentences,
+    "p5_found": p5_found,
+    "p5_repaired": p5_repaired,
 }
 
 _P1_FOUND = """
