@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import format_copies, repeated_lines, scan_repair, sentence_bounds
+from millrace.llm import format_copies, one_form, repeated_lines, scan_repair, sentence_bounds
 from millrace.sources import read_table
 
 
@@ -39,6 +39,21 @@ def p3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_bounds.add_sentences(passages)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_form.find_same_looking(
+        read_table(spark, sf_dir, "sense_examples"), read_table(spark, sf_dir, "entries_full")
+    )
+
+
+def p4_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "sense_examples").select("example_id", "en", "zh")
+    return one_form.add_one_form(rows, ["en", "zh"])
+
+
+def p4_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_form.add_one_form(read_table(spark, sf_dir, "entries_full").select("entry_id", "ex"), ["ex"])
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_repair.find_defects(_form(spark, sf_dir, "scan"))
 
@@ -54,6 +69,9 @@ QUERIES = {
     "p2_collapsed": p2_collapsed,
     "p3_found": p3_found,
     "p3_sentences": p3_sentences,
+    "p4_found": p4_found,
+    "p4_examples": p4_examples,
+    "p4_entries": p4_entries,
     "p5_found": p5_found,
     "p5_repaired": p5_repaired,
 }
