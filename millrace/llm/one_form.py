@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Letters that look like the Latin letter below them.
 LOOKALIKES = {
@@ -228,9 +229,8 @@ def fold(strings: pa.Array, alike: str = "always") -> pa.Array:
 
 def _folded(df: DataFrame, columns: dict[str, str], alike: str) -> DataFrame:
     """`df` with folded copies of string columns, batch by batch in Arrow."""
-    schema = df.schema
-    for new in columns.values():
-        schema = schema.add(new, "string")
+    added = [StructField(new, StringType()) for new in columns.values()]
+    schema = StructType(list(df.schema.fields) + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
