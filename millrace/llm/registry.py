@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import format_copies, one_form, repeated_lines, scan_repair, sentence_bounds
+from millrace.llm import format_copies, mojibake, one_form, repeated_lines, scan_repair, sentence_bounds
 from millrace.sources import read_table
 
 
@@ -62,6 +62,14 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_repair.repair_scans(_form(spark, sf_dir, "scan").select("ctx_id", "text"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.judge_texts(read_table(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.judge_texts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_cleaned": p1_cleaned,
@@ -74,6 +82,8 @@ QUERIES = {
     "p4_entries": p4_entries,
     "p5_found": p5_found,
     "p5_repaired": p5_repaired,
+    "p8_found": p8_found,
+    "p8_restored": p8_restored,
 }
 
 _P1_FOUND = """
