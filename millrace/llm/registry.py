@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import format_copies, mojibake, one_form, repeated_lines, scan_repair, sentence_bounds
+from millrace.llm import format_copies, mixing, mojibake, one_form, packing, repeated_lines, scan_repair, sentence_bounds
 from millrace.sources import read_table
 
 
@@ -62,6 +62,22 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_repair.repair_scans(_form(spark, sf_dir, "scan").select("ctx_id", "text"))
 
 
+def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "containers"))
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(p6_packed(spark, sf_dir))
+
+
+def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.judge_texts(read_table(spark, sf_dir, "documents")).select("doc_id")
 
@@ -82,6 +98,10 @@ QUERIES = {
     "p4_entries": p4_entries,
     "p5_found": p5_found,
     "p5_repaired": p5_repaired,
+    "p6_packed": p6_packed,
+    "p6_report": p6_report,
+    "p7_mixed": p7_mixed,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
     "p8_restored": p8_restored,
 }
