@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import WS, sentence_pieces
+from millrace.operators.ranking import global_rank
 
 # What marks the exam papers' own instructions.
 DIRECTIONS = rf"(?i)^{WS}*Direct[il1]ons?\b"
@@ -73,29 +73,25 @@ def headword_contexts(sentences: DataFrame, headwords: DataFrame, src: str, orde
     unique = per_row.groupBy("word", "sentence").agg(
         F.count(F.lit(1)).alias("n"), F.sum("k").alias("hits"), first.alias("f")
     )
-    turn = F.row_number().over(W.partitionBy("word", "f.src").orderBy("f", "sentence"))
-    ranked = unique.withColumn("turn", turn)
-    place = F.row_number().over(W.partitionBy("word").orderBy("turn", "f.src")) - 1
-    return ranked.select("word", place.alias("id"), "sentence", "n", "hits", F.col("f.src").alias("src"))
+    flat = unique.select("word", "sentence", "n", "hits", F.col("f.src").alias("src"), *[F.col(f"f.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+    turns = global_rank(flat, ["word", "src"], [*[f"_o{i}" for i in range(len(order))], "sentence"], "turn")
+    placed = global_rank(turns, ["word"], ["turn", "src"], "place")
+    return placed.select("word", (F.col("place") - 1).alias("id"), "sentence", "n", "hits", "src")
 
 
 def chunk(df: DataFrame, group: list[str], order: list[Column | str], size: int) -> DataFrame:
     """`chunk` number of each row when a group is cut into runs of `size` rows."""
-    rn = F.row_number().over(W.partitionBy(*group).orderBy(*order))
-    return df.withColumn("chunk", F.floor((rn - 1) / size).cast("int"))
+    placed = global_rank(df, group, order, "_rn")
+    return placed.withColumn("chunk", F.floor((F.col("_rn") - 1) / size).cast("int")).drop("_rn")
 
 
 def stripe(df: DataFrame, order: list[Column | str], per_task: int) -> DataFrame:
     """`task` of each row when ceil(rows / per_task) tasks take rows in turn.
 
-    The place of a row comes from one window over the whole input, so it is meant for lists of
-    the size of a vocabulary.
     """
-    rn = F.row_number().over(W.orderBy(*order))
     total = df.agg(F.ceil(F.count(F.lit(1)) / per_task).alias("_tasks"))
-    return (
-        df.withColumn("_rn", rn).join(F.broadcast(total)).withColumn("task", F.pmod(F.col("_rn") - 1, F.col("_tasks")).cast("int"))
-    ).drop("_rn", "_tasks")
+    placed = global_rank(df, [], order, "_rn").join(F.broadcast(total))
+    return placed.withColumn("task", F.pmod(F.col("_rn") - 1, F.col("_tasks")).cast("int")).drop("_rn", "_tasks")
 
 
 def next_fit(df: DataFrame, group: list[str], order: str, size: str, budget: int) -> DataFrame:

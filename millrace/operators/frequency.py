@@ -1,7 +1,7 @@
 """Ranked term and document frequency, cumulative cutoffs, coverage and list overlap.
 
-Counts are partial aggregates on the word; ranking windows without a partition run on the
-aggregated vocabulary only, never on tokens.
+Counts are partial aggregates on the word; ranks and running sums are taken over ranges of the
+aggregated vocabulary, so neither tokens nor the vocabulary stand in one task.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import lemma, word_tokens
+from millrace.operators.ranking import global_rank
 
 
 def token_rows(df: DataFrame, text: str, keep: list[str], form: str = "surface", cleaned: bool = False) -> DataFrame:
@@ -22,8 +23,7 @@ def token_rows(df: DataFrame, text: str, keep: list[str], form: str = "surface",
 def term_frequency(tokens: DataFrame) -> DataFrame:
     """(rank, word, count): most frequent first, ties by word."""
     counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-    order = W.orderBy(F.desc("count"), "word")
-    return counts.select(F.row_number().over(order).alias("rank"), "word", "count")
+    return global_rank(counts, [], [F.desc("count"), "word"]).select("rank", "word", "count")
 
 
 def document_frequency(tokens: DataFrame, unit: str) -> DataFrame:
@@ -33,8 +33,8 @@ def document_frequency(tokens: DataFrame, unit: str) -> DataFrame:
     """
     per_unit = tokens.where(F.col(unit).isNotNull()).groupBy("word", unit).agg(F.count(F.lit(1)).alias("n"))
     counts = per_unit.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("term_freq"))
-    order = W.orderBy(F.desc("doc_freq"), F.desc("term_freq"), "word")
-    return counts.select(F.row_number().over(order).alias("rank"), "word", "doc_freq", "term_freq")
+    ranked = global_rank(counts, [], [F.desc("doc_freq"), F.desc("term_freq"), "word"])
+    return ranked.select("rank", "word", "doc_freq", "term_freq")
 
 
 def full_units(df: DataFrame, unit: str, text: str, least_chars: int = 3000) -> DataFrame:
@@ -49,9 +49,8 @@ def full_units(df: DataFrame, unit: str, text: str, least_chars: int = 3000) ->
 
 def cumulative_cutoff(freq: DataFrame, share: float = 0.8) -> DataFrame:
     """Smallest rank at which the running count reaches `share` of all, else the list size."""
-    run = W.orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
     total = freq.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("size"))
-    running = freq.withColumn("running", F.sum("count").over(run)).join(F.broadcast(total))
+    running = global_rank(freq, [], ["rank"], "_place", {"running": "count"}).join(F.broadcast(total))
     reached = F.min(F.when(F.col("running") >= F.lit(share) * F.col("total"), F.col("rank")))
     return running.agg(
         F.coalesce(reached, F.max("size").cast("int")).alias("cutoff"),
