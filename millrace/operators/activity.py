@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.time import micros
+
 
 def latest_by_key(df: DataFrame, key: list[str], order: list[str], value: list[str]) -> DataFrame:
     """Last write wins by `order`, ties by the larger value; one aggregation, map-side combined."""
@@ -28,7 +30,7 @@ def upsert(current: DataFrame, changes: DataFrame, key: list[str], arrival: str)
 def heartbeat_time(df: DataFrame, group: list[str], ts: str, tie: str, gap_seconds: int) -> DataFrame:
     """(group, active_us, beats): gaps up to the limit count whole, longer ones not at all."""
     w = W.partitionBy(*group).orderBy(ts, tie)
-    us = F.unix_micros(F.col(ts))
+    us = micros(ts)
     gap = us - F.lag(us).over(w)
     return df.withColumn("_gap", gap).groupBy(*group).agg(
         F.sum(F.when(F.col("_gap") <= gap_seconds * 1_000_000, F.col("_gap")).otherwise(0)).alias("active_us"),

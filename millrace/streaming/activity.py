@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.functions.time import micros
+
 
 def minute_buckets(stream: DataFrame, group: list[str], ts: str, value: str, delay: str = "10 minutes") -> DataFrame:
     """Closed minutes once each (append mode): rows, sum and largest value."""
@@ -30,7 +32,7 @@ def study_sessions(stream: DataFrame, group: list[str], ts: str, gap: str, delay
         stream.withWatermark(ts, delay)
         .groupBy(*group, F.session_window(ts, gap))
         .agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("beats"))
-        .withColumn("active_us", F.unix_micros("last") - F.unix_micros("first"))
+        .withColumn("active_us", micros("last") - micros("first"))
         .drop("session_window")
     )
 
