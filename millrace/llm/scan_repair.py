@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 MIN_SHARE = {"word": 1e-6, "pair": 2e-6, "gram": 1e-7, "title": 1e-4, "again": 1e-6, "cuts": 1e-6, "compound": 1e-6}
 CONFUSION = 4e-4
 UNKNOWN = 0.02
+NOISE = 0.01
 
 # What a reader makes of what was printed, as misread form: printed forms.
 CONFUSIONS = {
@@ -160,6 +161,7 @@ class ScanModel:
         self.pair: dict[tuple[str, str], int] = counts.get("pair", {})
         self.compound: dict[str, int] = counts.get("compound", {})
         self.n = max(1, sum(self.word.values()))
+        self._clean_vocabulary()
         grams: dict[str, int] = counts.get("gram", {})
         self.orders: list[dict[str, int]] = [Counter(), Counter(), Counter(), dict(grams)]
         self.context: list[dict[str, int]] = [Counter(), Counter(), Counter(), Counter()]
@@ -175,6 +177,19 @@ class ScanModel:
                 self.headings.add(key)
         self._memo: dict[str, tuple] = {}
 
+    def _clean_vocabulary(self) -> None:
+        """Drop counted words that the channel explains: mixtures of letters and signs, and words
+        seen at most `NOISE` times as often as a word one confusion away from them."""
+        noise = set()
+        for w, n in self.word.items():
+            if any(c in SIGNS for c in w):
+                if not _NUMBER.match(w):
+                    noise.add(w)
+            elif any(self.word.get(c, 0) * NOISE >= n for c in self._undone(w, 1)):
+                noise.add(w)
+        self.word = {w: n for w, n in self.word.items() if w not in noise}
+        self.pair = {p: n for p, n in self.pair.items() if p[0] not in noise and p[1] not in noise}
+
     def spelled(self, word: str) -> float:
         """Log probability of a word's letters under the interpolated 4-gram model."""
         total = 0.0
