@@ -232,11 +232,17 @@ def split_points(text: str, model: CorpusModel) -> list[int]:
         if at == after and kind != "end":
             if kind == "open":
                 return bool(token) and token[-1].islower()
-            if kind != "cap" or len(word) < 2 or not token:
+            if not token or token in model.numeric or token in model.title:
+                return False
+            if kind == "num":
+                return len(token) > 3 and token.isalpha() and token[-1].islower() and token not in model.abbreviation
+            if kind == "other":
+                return len(token) > 1 and token.isalpha()
+            if kind != "cap" or len(word) < 2:
                 return False
             if len(token) > 1 and "." not in token and token[-1].islower():
                 return common(word) or word in model.start or len(token) > 3
-            return "." in token and common(word)
+            return "." in token and opens(word)
         if not token:
             return True
         if len(token) == 1 and token.isalpha():
