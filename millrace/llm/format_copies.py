@@ -20,13 +20,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import case_fold
+
 CARD_ITEMS = r"\r\n|\n|\r| \| |; "
 MASK = (1 << 52) - 1
 
 
 def content(value: Column) -> Column:
     """Letters and digits of a value, case folded."""
-    return F.lower(F.upper(F.regexp_replace(F.coalesce(value, F.lit("")), r"[^\p{L}\p{Nd}]+", "")))
+    return case_fold(F.regexp_replace(F.coalesce(value, F.lit("")), r"[^\p{L}\p{Nd}]+", ""))
 
 
 def sentence_fields(text: Column) -> Column:

@@ -3,9 +3,10 @@
 A batch of Arrow strings is read as one array of code points. A lookup table as long as the
 Unicode range gives every code point its replacement: itself, another one, none (zero-width
 and soft characters) or an entry of an expansion table (ligatures). Output places are the
-running sum of the replacement lengths, so expansion and removal are one scatter. Combining
-marks are composed with the letter before them by looking up (letter, mark) pairs of the whole
-batch at once, repeated while pairs are left. No string call is made per row.
+running sum of the replacement lengths, so expansion and removal are one scatter. Letters
+with marks are taken apart by the same table; the marks of all letters are put in canonical order
+with one sort and composed by looking up (letter, mark) pairs of the whole batch at once, first
+marks first. No string call is made per row.
 
 What is folded: full-width and half-width forms, presentation forms and ligatures, CJK radicals
 and compatibility ideographs, spaces of any width, zero-width characters, hyphens, decomposed
@@ -46,7 +47,11 @@ _KEEP = set("…″‴⁗‼⁇⁈⁉¨¯´¸˘˙˚˛˜˝‗‾℀℁℅℆№
 
 
 def _expansion(c: str) -> str:
-    """Replacement of one character, before look-alikes."""
+    """Replacement of one character, before look-alikes, marks apart from their letters."""
+    return unicodedata.normalize("NFD", _replacement(c))
+
+
+def _replacement(c: str) -> str:
     cat = unicodedata.category(c)
     if cat == "Zs":
         return " "
@@ -64,8 +69,6 @@ def _expansion(c: str) -> str:
         return unicodedata.normalize("NFKC", c)
     if tag in ("<wide>", "<narrow>", "<small>", "<font>"):
         return unicodedata.normalize("NFKC", c)
-    if decomposition and not tag.startswith("<"):
-        return unicodedata.normalize("NFC", c)
     return c
 
 
@@ -76,7 +79,7 @@ class Tables:
         size = sys.maxunicode + 1
         self.single = np.arange(size, dtype=np.uint32)
         self.length = np.ones(size, dtype=np.uint8)
-        self.mark = np.zeros(size, dtype=bool)
+        self.order = np.zeros(size, dtype=np.uint8)
         self.expanded: dict[int, str] = {}
         pairs: dict[int, int] = {}
         for cp in range(size):
@@ -92,14 +95,13 @@ class Tables:
                 self.length[cp] = len(new)
                 if new:
                     self.expanded[cp] = new
-            if unicodedata.combining(c):
-                self.mark[cp] = True
+            self.order[cp] = unicodedata.combining(c)
             d = unicodedata.decomposition(c)
             if d and not d.startswith("<") and " " in d and unicodedata.normalize("NFC", c) == c:
                 base, accent = (int(x, 16) for x in d.split())
                 pairs[(base << 21) | accent] = cp
         for cp in range(0x2F800, 0x2FA20):
-            new = unicodedata.normalize("NFC", chr(cp))
+            new = unicodedata.normalize("NFD", chr(cp))
             if len(new) == 1:
                 self.single[cp] = ord(new)
         self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
@@ -152,26 +154,36 @@ def _compact(points: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[
 
 
 def _compose(points: np.ndarray, bounds: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
-    while len(points) > 1:
-        at = np.flatnonzero(t.mark[points])
-        at = at[at > 0]
-        if not len(at):
-            break
-        first = np.zeros(len(points) + 1, dtype=bool)
-        first[bounds] = True
-        at = at[~first[at]]
-        at = at[~t.mark[points[at - 1]]]
-        keys = (points[at - 1].astype(np.int64) << 21) | points[at]
-        where = np.minimum(np.searchsorted(t.pair_keys, keys), len(t.pair_keys) - 1)
-        hit = t.pair_keys[where] == keys
-        if not hit.any():
-            break
+    """Marks in canonical order, composed with their letter where nothing stands between."""
+    order = t.order[points]
+    if not order.any():
+        return points, bounds
+    begins = np.zeros(len(points) + 1, dtype=bool)
+    begins[bounds] = True
+    starts = (order == 0) | begins[:-1]
+    at = np.flatnonzero(starts)
+    group = np.cumsum(starts) - 1
+    step = np.arange(len(points)) - at[group]
+    if (step > 1).any():
+        by = np.lexsort((np.where(order == 0, -1, order.astype(np.int16)), group))
+        points, order = points[by], order[by]
+    else:
         points = points.copy()
-        points[at[hit] - 1] = t.pair_values[where[hit]]
-        keep = np.ones(len(points), dtype=bool)
-        keep[at[hit]] = False
-        points, bounds = _compact(points, bounds, keep)
-    return points, bounds
+    marks = np.flatnonzero(step)
+    marks = marks[np.argsort(step[marks], kind="stable")]
+    rounds = np.split(marks, np.flatnonzero(np.diff(step[marks])) + 1) if len(marks) else []
+    last = np.zeros(len(at), dtype=np.uint8)
+    keep = np.ones(len(points), dtype=bool)
+    for now in rounds:
+        g = group[now]
+        base = at[g]
+        keys = (points[base].astype(np.int64) << 21) | points[now]
+        where = np.minimum(np.searchsorted(t.pair_keys, keys), len(t.pair_keys) - 1)
+        hit = (t.pair_keys[where] == keys) & (order[base] == 0) & (last[g] < order[now])
+        points[base[hit]] = t.pair_values[where[hit]]
+        keep[now[hit]] = False
+        last[g[~hit]] = order[now[~hit]]
+    return _compact(points, bounds, keep)
 
 
 def _strings(points: np.ndarray, bounds: np.ndarray, valid: np.ndarray) -> pa.Array:

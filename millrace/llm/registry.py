@@ -114,7 +114,7 @@ WITH pages AS (
 ), lines AS (
   SELECT ctx_id, src, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM parts
 ), keyed AS (
-  SELECT ctx_id, src, i, lower(upper(regexp_replace(line, '[^\\p{L}]+', '', 'g'))) AS k FROM lines
+  SELECT ctx_id, src, i, replace(lower(upper(regexp_replace(line, '[^\\p{L}]+', '', 'g'))), 'ß', 'ss') AS k FROM lines
 ), totals AS (
   SELECT src, count(*) AS pages FROM pages GROUP BY src
 ), covering AS (
@@ -127,7 +127,7 @@ _P2_KEYED = """
 WITH rows_ AS (
   SELECT ctx_id, word, form, text, n FROM contexts WHERE form IN ('sentence', 'card') AND text IS NOT NULL
 ), sentences AS (
-  SELECT ctx_id, word, form, lower(upper(regexp_replace(text, '[^\\p{L}\\p{Nd}]+', '', 'g'))) AS k
+  SELECT ctx_id, word, form, replace(lower(upper(regexp_replace(text, '[^\\p{L}\\p{Nd}]+', '', 'g'))), 'ß', 'ss') AS k
   FROM rows_ WHERE form = 'sentence'
 ), json_items AS (
   SELECT ctx_id, lower(trim(key)) AS name, json_extract_string(text, '$."' || key || '"') AS value
@@ -140,7 +140,7 @@ WITH rows_ AS (
         FROM rows_ WHERE form = 'card' AND ltrim(text, ' ' || chr(10) || chr(13) || chr(9)) NOT LIKE '{%')
   WHERE trim(item) <> ''
 ), cards AS (
-  SELECT ctx_id, string_agg(name || '=' || lower(upper(regexp_replace(coalesce(value, ''), '[^\\p{L}\\p{Nd}]+', '', 'g'))), '&' ORDER BY name, value) AS k
+  SELECT ctx_id, string_agg(name || '=' || replace(lower(upper(regexp_replace(coalesce(value, ''), '[^\\p{L}\\p{Nd}]+', '', 'g'))), 'ß', 'ss'), '&' ORDER BY name, value) AS k
   FROM (SELECT * FROM json_items UNION ALL SELECT * FROM plain_items) GROUP BY ctx_id
 ), keyed AS (
   SELECT ctx_id, word, form, k FROM sentences

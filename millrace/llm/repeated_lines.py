@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import case_fold
+
 TOKEN = 6
 DEPTH = 4
 
@@ -28,7 +30,7 @@ DEPTH = 4
 def letter_streams(text: Column) -> Column:
     """Array of the lines' letters: one pass over the text, lines parted by \\n only."""
     letters = F.regexp_replace(text, r"[^\p{L}\n]+", "")
-    return F.split(F.lower(F.upper(letters)), "\n", -1)
+    return F.split(case_fold(letters), "\n", -1)
 
 
 def _tree_key(stream: Column) -> Column:
