@@ -10,19 +10,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.text import lemma, word_tokens
+from millrace.functions.text import clean_text, is_word, lemma, raw_words, repair, split_contractions
 from millrace.operators.ranking import global_rank
 
 
-def token_rows(df: DataFrame, text: str, keep: list[str], form: str = "surface", cleaned: bool = False) -> DataFrame:
-    """One row per corpus word: the `keep` columns and `word`."""
-    rows = df.select(*keep, F.explode(word_tokens(F.col(text), cleaned)).alias("word"))
-    return rows.withColumn("word", lemma(F.col("word"))) if form == "lemma" else rows
+def token_counts(df: DataFrame, text: str, keep: list[str], form: str = "surface", cleaned: bool = False) -> DataFrame:
+    """(keep, word, n): corpus words counted per `keep`.
+
+    Raw words are counted first; contractions, repairs and the word rule are then applied to the
+    distinct raw words only, which are few.
+    """
+    body = F.col(text) if cleaned else clean_text(F.col(text))
+    raw = df.select(*keep, F.explode(raw_words(body)).alias("_raw")).groupBy(*keep, "_raw").agg(F.count(F.lit(1)).alias("n"))
+    halves = raw.select(*keep, "n", F.explode(split_contractions(F.array("_raw"))).alias("_half"))
+    words = halves.select(*keep, "n", repair(F.col("_half")).alias("word")).where(is_word(F.col("word")))
+    if form == "lemma":
+        words = words.withColumn("word", lemma(F.col("word")))
+    return words.groupBy(*keep, "word").agg(F.sum("n").alias("n"))
+
+
+def _weight(tokens: DataFrame) -> Column:
+    return F.col("n") if "n" in tokens.columns else F.lit(1)
 
 
 def term_frequency(tokens: DataFrame) -> DataFrame:
-    """(rank, word, count): most frequent first, ties by word."""
-    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    """(rank, word, count): most frequent first, ties by word; of rows or of counts `n`."""
+    counts = tokens.groupBy("word").agg(F.sum(_weight(tokens)).cast("bigint").alias("count"))
     return global_rank(counts, [], [F.desc("count"), "word"]).select("rank", "word", "count")
 
 
@@ -31,7 +44,7 @@ def document_frequency(tokens: DataFrame, unit: str) -> DataFrame:
 
     Counted in two steps, first per (word, unit), so a frequent word is never one task's work.
     """
-    per_unit = tokens.where(F.col(unit).isNotNull()).groupBy("word", unit).agg(F.count(F.lit(1)).alias("n"))
+    per_unit = tokens.where(F.col(unit).isNotNull()).groupBy("word", unit).agg(F.sum(_weight(tokens)).cast("bigint").alias("n"))
     counts = per_unit.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("term_freq"))
     ranked = global_rank(counts, [], [F.desc("doc_freq"), F.desc("term_freq"), "word"])
     return ranked.select("rank", "word", "doc_freq", "term_freq")
@@ -73,7 +86,7 @@ def coverage(tokens: DataFrame, unit: str, listed: DataFrame) -> DataFrame:
 
     Tokens are counted per (unit, word) first; the list meets the aggregate, not the tokens.
     """
-    counts = tokens.groupBy(unit, "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = tokens.groupBy(unit, "word").agg(F.sum(_weight(tokens)).cast("bigint").alias("n"))
     marked = counts.join(listed.select("word", F.lit(1).alias("hit")), "word", "left")
     return (
         marked.groupBy(unit)

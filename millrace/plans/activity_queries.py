@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import shutil
 import tempfile
 import uuid
@@ -147,34 +148,31 @@ def active_clock(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    schema = read_table(spark, sf_dir, table).schema
-    return spark.readStream.schema(schema).parquet(_folder(spark, sf_dir, table))
-
-
-def _folder(spark: SparkSession, sf_dir: str, table: str) -> str:
-    """The table's own folder, or one with its single file linked, as a file stream wants a folder."""
-    import os
-
+    """The table as a file stream: its folder, or its one file picked by name from the data folder."""
     path = f"{sf_dir}/{table}.parquet"
-    if "://" in sf_dir or os.path.isdir(path):
-        return path
-    folder = f"{tempfile.gettempdir()}/millrace-stream/{uuid.uuid4().hex}"
-    os.makedirs(folder)
-    os.symlink(os.path.realpath(path), f"{folder}/part.parquet")
-    return folder
+    reader = spark.readStream.schema(read_table(spark, sf_dir, table).schema)
+    if os.path.isfile(path):
+        return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def _run(stream: DataFrame, mode: str) -> DataFrame:
-    """Run a stream over what is there now and give its output rows."""
+    """Run a stream over what is there now and give its output rows.
+
+    State goes to the checkpoint folder the cluster names; only a session without one (tests)
+    uses a temporary folder.
+    """
     spark = stream.sparkSession
     name = f"millrace_{uuid.uuid4().hex}"
-    state = tempfile.mkdtemp(prefix="millrace-state-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    state = f"{shared}/{name}" if shared else tempfile.mkdtemp(prefix="millrace-state-")
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).start()
     try:
         query.awaitTermination()
     finally:
         query.stop()
-        shutil.rmtree(state, ignore_errors=True)
+        if not shared:
+            shutil.rmtree(state, ignore_errors=True)
     return spark.table(name)
 
 

@@ -15,11 +15,11 @@ LEAST_CHARS = 3000
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return read_table(spark, sf_dir, "documents", spread=True)
 
 
 def _tokens(spark: SparkSession, sf_dir: str, keep: list[str], form: str = "surface") -> DataFrame:
-    return Q.token_rows(_docs(spark, sf_dir), "text", keep, form)
+    return Q.token_counts(_docs(spark, sf_dir), "text", keep, form)
 
 
 def _exam_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,12 +37,12 @@ def tf_lemma(spark, sf_dir):
 
 
 def df_rank(spark, sf_dir):
-    return Q.document_frequency(Q.token_rows(_exam_docs(spark, sf_dir), "text", ["set_key"]), "set_key")
+    return Q.document_frequency(Q.token_counts(_exam_docs(spark, sf_dir), "text", ["set_key"]), "set_key")
 
 
 def df_in_all_sets(spark, sf_dir):
     docs = _exam_docs(spark, sf_dir)
-    table = Q.document_frequency(Q.token_rows(docs, "text", ["set_key"]), "set_key")
+    table = Q.document_frequency(Q.token_counts(docs, "text", ["set_key"]), "set_key")
     n = docs.agg(F.count_distinct("set_key").alias("n_units"))
     return Q.in_all_units(table, n)
 
@@ -76,9 +76,10 @@ def stub_sets(spark, sf_dir):
 
 
 def contraction_repair(spark, sf_dir):
-    words = T.split_contractions(T.raw_words(T.clean_text(F.col("text"))))
-    rows = _docs(spark, sf_dir).select(F.explode(words).alias("w")).where(F.col("w").isin(*T.REPAIRS))
-    return rows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).select("w", T.repair(F.col("w")).alias("word"), "n")
+    raw = _docs(spark, sf_dir).select(F.explode(T.raw_words(T.clean_text(F.col("text")))).alias("raw"))
+    counts = raw.groupBy("raw").agg(F.count(F.lit(1)).alias("k"))
+    rows = counts.select("k", F.explode(T.split_contractions(F.array("raw"))).alias("w")).where(F.col("w").isin(*T.REPAIRS))
+    return rows.groupBy("w").agg(F.sum("k").alias("n")).select("w", T.repair(F.col("w")).alias("word"), "n")
 
 
 def clean_texts(spark, sf_dir):
