@@ -10,7 +10,7 @@ from millrace.sources import read_table
 
 
 def _form(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
-    return read_table(spark, sf_dir, "contexts").where(F.col("form") == form)
+    return read_table(spark, sf_dir, "contexts", spread=True).where(F.col("form") == form)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +23,11 @@ def p1_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_copies.context_copies(read_table(spark, sf_dir, "contexts"))
+    return format_copies.context_copies(read_table(spark, sf_dir, "contexts", spread=True))
 
 
 def p2_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_copies.collapse_contexts(read_table(spark, sf_dir, "contexts"))
+    return format_copies.collapse_contexts(read_table(spark, sf_dir, "contexts", spread=True))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "containers"))
+    return packing.pack(read_table(spark, sf_dir, "documents", spread=True), read_table(spark, sf_dir, "containers"))
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,19 +71,19 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets"))[0]
+    return mixing.mix(read_table(spark, sf_dir, "documents", spread=True), read_table(spark, sf_dir, "mix_targets"))[0]
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets"))[1]
+    return mixing.mix(read_table(spark, sf_dir, "documents", spread=True), read_table(spark, sf_dir, "mix_targets"))[1]
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mojibake.judge_texts(read_table(spark, sf_dir, "documents")).select("doc_id")
+    return mojibake.judge_texts(read_table(spark, sf_dir, "documents", spread=True)).select("doc_id")
 
 
 def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mojibake.judge_texts(read_table(spark, sf_dir, "documents"))
+    return mojibake.judge_texts(read_table(spark, sf_dir, "documents", spread=True))
 
 
 QUERIES = {
