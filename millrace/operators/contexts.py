@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import WS, sentence_pieces
+from millrace.functions.text import GAPS, WS, phrase_pattern, sentence_pieces
 from millrace.operators.ranking import global_rank
 
 # What marks the exam papers' own instructions.
@@ -127,3 +128,29 @@ def peek(df: DataFrame, body: str, needle: str, width: int = 700) -> DataFrame:
     return df.withColumn(
         "around", F.when(found > 0, F.substring(F.col(body), begin, found - begin + F.length(key) + width))
     )
+
+
+def phrase_hits(sentences: DataFrame, phrases: DataFrame, text: str = "sentence", phrase: str = "phrase") -> DataFrame:
+    """Sentences that hold a phrase, gaps and possessives allowed, without a nested loop.
+
+    A phrase meets only the sentences that hold its first real word (an equi-join on tokens);
+    its pattern is then tried on those. Phrases under two real words match nothing.
+    """
+
+    @F.pandas_udf("string")
+    def pattern(values: pd.Series) -> pd.Series:
+        return values.map(lambda p: phrase_pattern(p) if isinstance(p, str) else None)
+
+    fillers = [*GAPS, "one's", "sb's"]
+    words = F.filter(F.split(F.lower(F.regexp_replace(phrase, r"\.{2,}|…", " ... ")), WS + "+"), lambda w: (w != "") & ~w.isin(fillers))
+    keyed = phrases.select(phrase).distinct().select(phrase, pattern(F.col(phrase)).alias("_rx"), F.rtrim(F.get(words, 0), F.lit(",;")).alias("_first"))
+    keyed = keyed.where(F.col("_rx").isNotNull())
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([^\s.,;:!?\"“”()（）]+)"), F.lit(1)))
+    hits = sentences.withColumn("_first", F.explode(tokens)).join(keyed, "_first")
+    return hits.where(F.rlike(F.col(text), F.col("_rx"))).drop("_first", "_rx")
+
+
+def half_split(df: DataFrame, key: str, seed: int = 1) -> DataFrame:
+    """`half` 0 or 1 by hash order of a key, as even as can be; the same in every run."""
+    placed = global_rank(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), [], ["_h", key], "_rn")
+    return placed.withColumn("half", F.pmod("_rn", F.lit(2)).cast("int")).drop("_h", "_rn")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.functions.signal import rms
 from millrace.operators import contexts as C
 from millrace.operators import frequency as Q
 from millrace.operators import merge as M
 from millrace.operators import senses as S
 from millrace.operators import validate as V
 from millrace.plans.sql import lemma_sql
-from millrace.sources import read_table
+from millrace.sources import read_table, sinks
 
 KEEP = 6
 FUNCTION_WORDS = ["", "prep.", "conj.", "pron.", "det.", "art.", "aux.", "modal v."]
@@ -292,6 +293,43 @@ def context_table(spark, sf_dir):
     return rows.groupBy("word").agg(F.count(F.lit(1)).alias("sentences"), F.sum("n").alias("total"), F.min(F.struct("sid", "n"))["sid"].alias("first_sid"))
 
 
+def phrase_hits(spark, sf_dir):
+    phrases = _labels(spark, sf_dir).where(F.col("phrase").isNotNull()).select("phrase")
+    rows = _sentences(spark, sf_dir).select("sid", F.col("text").alias("sentence")).distinct()
+    return C.phrase_hits(rows, phrases).select("phrase", "sid").distinct()
+
+
+def half_split(spark, sf_dir):
+    words = _senses(spark, sf_dir).select("word").distinct()
+    return C.half_split(words, "word").groupBy("half").agg(F.count(F.lit(1)).alias("n"))
+
+
+def label_forms(spark, sf_dir):
+    """Labels written as text and normalised again."""
+    rows = _labels(spark, sf_dir).select(
+        F.when(F.col("kind") == "x", "X").when(F.col("kind") == "phrase", F.concat(F.lit("P:"), "phrase"))
+        .when(F.col("kind") == "new", F.concat(F.lit("N"), F.coalesce("sense", F.lit(0)))).otherwise(F.col("sense").cast("string")).alias("raw"), "kind",
+    )
+    out = rows.where(F.col("raw").isNotNull()).select("kind", F.explode(S.normalise_label(F.col("raw"))).alias("l"))
+    return out.groupBy("kind", F.col("l.kind").alias("read")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def work_list(spark, sf_dir):
+    rows = _sentences(spark, sf_dir).select("word", F.col("sid").alias("id"), F.col("text").alias("sentence"))
+    return sinks.work_list(rows).select("word", "id", F.array_join("after", " ").alias("after"))
+
+
+def review_blocks(spark, sf_dir):
+    kept = _kept(spark, sf_dir).join(_weights(spark, sf_dir).select("word", "sense", "hits"), ["word", "sense"])
+    named = kept.join(_senses(spark, sf_dir).select("word", F.col("idx").alias("sense"), "pos", "zh"), ["word", "sense"])
+    return sinks.review_lines(named)
+
+
+def vector_levels(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    return rows.select("vec_id", F.round(rms(F.col("embedding")), 6).alias("level"))
+
+
 _SENT = """WITH sent AS (
   SELECT word, substr(sha1(text), 1, 16) AS sid, min(text) AS text, CAST(sum(coalesce(n, 1)) AS BIGINT) AS n, min(coalesce(src, '')) AS src
   FROM contexts WHERE form = 'sentence' AND text IS NOT NULL GROUP BY 1, 2
@@ -393,6 +431,13 @@ r AS (SELECT src, word, k, i, 0 AS b, k AS used FROM k WHERE i = 1 UNION ALL
   SELECT k.src, k.word, k.k, k.i, r.b + CASE WHEN r.used + k.k > 20 THEN 1 ELSE 0 END, CASE WHEN r.used + k.k > 20 THEN k.k ELSE r.used + k.k END
   FROM r JOIN k ON k.src = r.src AND k.i = r.i + 1)
 SELECT src, word, k, CAST(b AS INTEGER) AS bin FROM r""".replace("WITH sent", "WITH RECURSIVE sent"),
+    "half_split": "SELECT CAST(h AS INTEGER) AS half, CASE h WHEN 1 THEN (n + 1) // 2 ELSE n // 2 END AS n FROM (SELECT count(DISTINCT word) AS n FROM senses), (VALUES (0), (1)) t(h)",
+    "label_forms": "SELECT kind, kind AS read, count(*) AS n FROM labels_norm WHERE kind IN ('x', 'new') OR (kind = 'phrase' AND phrase IS NOT NULL) OR (kind = 'sense' AND sense IS NOT NULL) GROUP BY kind",
+    "work_list": _SENT + """, r AS (SELECT word, sid AS id, string_split_regex(substr(lower(text), instr(lower(text), lower(word)) + length(word)), '[^a-z]+') AS ts FROM sent)
+SELECT word, id, array_to_string(list_slice(list_filter(ts, lambda t: t <> ''), 1, 4), ' ') AS after FROM r""",
+    "review_blocks": _WEIGHT + """, named AS (SELECT k.word, k.place, w.hits, coalesce(s.pos, '') AS pos, coalesce(s.zh, '') AS zh FROM kept k JOIN weights w USING (word, sense) JOIN senses s ON s.word = k.word AND s.idx = k.sense)
+SELECT word, '## ' || word || chr(10) || string_agg('- ' || place || '. ' || pos || zh || ' (' || hits || ')', chr(10) ORDER BY place) AS block FROM named GROUP BY word""",
+    "vector_levels": "SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) / len(embedding)), 6) AS level FROM embeddings",
     "loud_gain": "SELECT s_suppkey, round(least(-18.0 - s_acctbal / -500.0, -1.0 - s_acctbal / -2000.0), 1) AS gain FROM supplier",
     "html_inline": r"""SELECT example_id, regexp_replace(regexp_replace(replace(replace(replace('**' || word || '** & *' || coalesce(zh, '') || '* <i>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
 '\*\*(.+?)\*\*', '<b>\1</b>', 'g'), '\*(.+?)\*', '<i>\1</i>', 'g') AS html FROM sense_examples""",
@@ -408,6 +453,6 @@ QUERIES = {
         task_key_difference, admissible_examples, english_parts, sense_terms, core_mentions, priority_merge, last_wins,
         alias_merge, veto_anti, entry_assembly, dataset_counters, slim_entries, root_parts, hash_diff_incremental,
         insert_only_defaults, store_fold, override_matches, group_index, function_senses, prefix_offsets, section_changes,
-        chunk_fixed, stripe, pack_next_fit, loud_gain, inflected_forms, html_inline, context_table,
+        phrase_hits, half_split, label_forms, work_list, review_blocks, vector_levels, chunk_fixed, stripe, pack_next_fit, loud_gain, inflected_forms, html_inline, context_table,
     )
 }

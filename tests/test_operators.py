@@ -197,3 +197,34 @@ def test_corpus_files_and_sinks(spark, tmp_path):
     sinks.write_ranked(freq, str(tmp_path / "out"))
     assert rows(corpus.read_ranked(spark, str(tmp_path / "out"), 1), "word") == [("a",)]
     assert corpus.read_json_or_empty(spark, str(tmp_path / "none.json"), "a int").count() == 0
+
+
+def test_phrase_hits_equal_nested_loop(spark):
+    from millrace.functions.text import phrase_pattern
+
+    texts = ["Take the whole cost into account.", "He will take it, into account", "in the face of it", "face it", "make up one's mind is to make up her mind", ""]
+    phrases = ["take sth into account", "in the face of", "make up one's mind", "sth up", "face ... it"]
+    s = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, sentence string")
+    p = spark.createDataFrame([(x,) for x in phrases] + [(None,)], "phrase string")
+    got = rows(C.phrase_hits(s, p), "id", "phrase")
+    want = []
+    for i, t in enumerate(texts):
+        for x in phrases:
+            rx = phrase_pattern(x)
+            if rx and spark.createDataFrame([(t,)], "t string").where(F.rlike("t", F.lit(rx))).count():
+                want.append((i, x))
+    assert got == sorted(want) and len(got) >= 3
+
+
+def test_signals(spark):
+    import numpy as np
+
+    from millrace.functions import signal as G
+
+    rate = 8000
+    t = np.arange(rate) / rate
+    tone = np.concatenate([np.zeros(rate // 2), 0.5 * np.sin(2 * np.pi * 200 * t)])
+    df = spark.createDataFrame([(1, tone.tolist()), (2, [0.0] * 4000), (3, None), (4, [])], "i int, s array<double>")
+    out = {r["i"]: r for r in df.select("i", G.median_pitch(rate, 400, 200)("s").alias("p"), G.onset_seconds(rate)("s").alias("o"), G.rms(F.col("s")).alias("r")).collect()}
+    assert abs(out[1]["p"] - 200) < 3 and abs(out[1]["o"] - 0.5) < 0.02 and abs(out[1]["r"] - 0.2887) < 1e-3
+    assert out[2]["p"] == 0.0 and out[2]["o"] is None and out[3]["p"] is None and out[4]["r"] is None
