@@ -9,7 +9,9 @@ grouped again by its exact fields, so collisions neither join nor lose records.
 
 Only (keys, fingerprint, id) go through the grouping shuffle, with map-side partial counts, so
 a group that holds a third of all rows is one small record per map task. Texts travel only for
-groups of two or more.
+groups of two or more. The largest groups, at most `HOT_GROUPS` of at least `HOT_COPIES` records,
+never meet in a shuffle: their first records are broadcast (at most that many) and compared where
+the members lie. Of the others none can hold more than one part in `HOT_GROUPS` of the rows.
 
 Defined cases: null text gives no record; a text that is no readable card is one field of its
 own; an empty text is a record with an empty value; a JSON null counts as an empty value.
@@ -24,6 +26,8 @@ from millrace.functions.text import case_fold
 
 CARD_ITEMS = r"\r\n|\n|\r| \| |; "
 MASK = (1 << 52) - 1
+HOT_COPIES = 20_000
+HOT_GROUPS = 1_000
 
 
 def content(value: Column) -> Column:
@@ -104,17 +108,20 @@ def copy_members(df: DataFrame, id_col: str, keys: list[str], fields: Column) ->
         marked.groupBy("_h")
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
-        .select("_h", "_first")
     )
-    members = marked.join(groups, "_h")
-    heads = members.where(F.col("_id") == F.col("_first")).select(
+    hot = groups.where(F.col("_copies") >= HOT_COPIES).orderBy(F.desc("_copies"), "_h").limit(HOT_GROUPS)
+    hot = hot.select("_h", "_first")
+    heads_of = lambda rows: rows.where(F.col("_id") == F.col("_first")).select(
         "_h", F.col("_fields").alias("_head"), *[F.col(n).alias(f"_head{n}") for n in names]
     )
-    compared = members.where(F.col("_id") != F.col("_first")).join(heads, "_h")
+    hot_heads = heads_of(marked.join(F.broadcast(hot), "_h")).join(hot, "_h")
+    hot_rows = marked.join(F.broadcast(hot_heads), "_h").where(F.col("_id") != F.col("_first"))
+    members = marked.join(groups.join(F.broadcast(hot), "_h", "left_anti").select("_h", "_first"), "_h")
+    cold_rows = members.where(F.col("_id") != F.col("_first")).join(heads_of(members), "_h")
     equal = same_fields(F.col("_fields"), F.col("_head"))
     for n in names:
         equal = equal & F.col(n).eqNullSafe(F.col(f"_head{n}"))
-    compared = compared.withColumn("_equal", equal)
+    compared = hot_rows.select(*cold_rows.columns).unionByName(cold_rows).withColumn("_equal", equal)
     kept = compared.where("_equal").select(*names, F.col("_first").alias("first_id"), F.col("_id").alias("copy_id"))
     others = compared.where(~F.col("_equal")).select(
         *names, "_id", F.array_sort("_fields").alias("_exact")

@@ -82,3 +82,13 @@ def test_repeated_fields_are_a_bag(spark):
 def test_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([], SCHEMA).selectExpr("*", "1 as _h", "2 as first_id", "3 as copies")
     assert C.context_copies(df).count() == 0 and C.collapse_contexts(df).count() == 0
+
+
+def test_hot_groups_give_the_same_pairs(spark, monkeypatch):
+    monkeypatch.setattr(C, "HOT_COPIES", 5)
+    monkeypatch.setattr(C, "HOT_GROUPS", 2)
+    rows = data()
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [(r["first_id"], r["copy_id"]) for r in C.context_copies(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+    assert sum(r["copies"] for r in C.collapse_contexts(df).collect()) == sum(r[3] is not None and r[2] != "page" for r in rows)
