@@ -219,6 +219,14 @@ def insert_only_defaults(spark, sf_dir):
     return M.insert_only(M.insert_only(d[2], d[1], ["word"]), d[0], ["word"])
 
 
+def patch_overlay(spark, sf_dir):
+    """Sounds of the newest edition, with the American one taken away from words labelled unused."""
+    base = _by_edition(spark, sf_dir, "us")[0].join(_by_edition(spark, sf_dir, "uk")[0], "word")
+    unused = _labels(spark, sf_dir).where(F.col("kind") == "x").select("word").distinct()
+    patch = unused.select("word", F.create_map(F.lit("us"), F.lit(None).cast("string")).alias("patch"))
+    return M.patch_fields(base, patch, "word")
+
+
 def store_fold(spark, sf_dir):
     """Labels folded by (word, sid): the last kind and the first sense in label order."""
     rows = _labels(spark, sf_dir).select("word", "sid", "ord", "kind", F.coalesce("sense", F.lit(-1)).alias("sense"))
@@ -416,6 +424,7 @@ WHERE NOT (k = 1 AND lower(translate(text, '-·() ', '')) = lower(translate(word
     "hash_diff_incremental": """WITH h AS (SELECT edition, word, substr(sha256(coalesce(ex, '')), 1, 12) AS sha FROM entries_full)
 SELECT word, sha FROM h WHERE edition = 'e2023_000004' AND (word, sha) NOT IN (SELECT word, sha FROM h WHERE edition = 'e2022_000003')""",
     "insert_only_defaults": _EDS + " SELECT word, arg_max(def, p) AS def FROM eds WHERE def IS NOT NULL GROUP BY word",
+    "patch_overlay": "SELECT word, CASE WHEN word IN (SELECT word FROM labels_norm WHERE kind = 'x') THEN NULL ELSE us END AS us, uk FROM entries_full WHERE edition = 'e2023_000004'",
     "store_fold": "SELECT word, sid, arg_max(kind, {'o': ord, 'k': kind, 's': coalesce(sense, -1)}) AS kind, arg_min(coalesce(sense, -1), {'o': ord, 'k': kind, 's': coalesce(sense, -1)}) AS sense FROM labels_norm GROUP BY word, sid",
     "override_matches": f"SELECT word, {_FULL} AS name, min(idx) AS idx, count(*) AS matches FROM senses GROUP BY 1, 2",
     "group_index": "SELECT pos, count(*) AS n, string_agg(word, ' ' ORDER BY word) AS words FROM (SELECT DISTINCT coalesce(pos, '') AS pos, lower(word) AS word FROM senses) GROUP BY pos",
@@ -452,7 +461,7 @@ QUERIES = {
         definitions, phrase_counts, phrase_usage, unlabelled_anti, ref_violations, label_rules, duplicate_labels,
         task_key_difference, admissible_examples, english_parts, sense_terms, core_mentions, priority_merge, last_wins,
         alias_merge, veto_anti, entry_assembly, dataset_counters, slim_entries, root_parts, hash_diff_incremental,
-        insert_only_defaults, store_fold, override_matches, group_index, function_senses, prefix_offsets, section_changes,
+        insert_only_defaults, patch_overlay, store_fold, override_matches, group_index, function_senses, prefix_offsets, section_changes,
         phrase_hits, half_split, label_forms, work_list, review_blocks, vector_levels, chunk_fixed, stripe, pack_next_fit, loud_gain, inflected_forms, html_inline, context_table,
     )
 }

@@ -160,6 +160,17 @@ def top_words(spark, sf_dir):
     return tf_surface(spark, sf_dir).where(F.col("rank") <= 25)
 
 
+def directions_blocks(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(C.directions_lines(F.col("text"))).alias("pos", "line"))
+
+
+def peek_context(spark, sf_dir):
+    """100 characters on both sides of the first words of each document's second sentence."""
+    second = _sentences(spark, sf_dir).where(F.col("pos") == 1).select("doc_id", "sentence")
+    rows = _docs(spark, sf_dir).select("doc_id", "text").join(second, "doc_id")
+    return C.peek(rows, "text", "sentence", 100).select("doc_id", F.md5(F.encode("around", "UTF-8")).alias("h"))
+
+
 _TOK = "WITH " + tokens_cte("documents", "doc_id")
 _TF = "tf AS (SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, word) AS INTEGER) AS rank, word, count(*) AS count FROM tokens GROUP BY word)"
 _EXAM = f"""exam AS (
@@ -197,7 +208,7 @@ QUERIES = {
     for f in (
         tf_surface, tf_lemma, df_rank, df_in_all_sets, cutoff_80, tf_df_overlap, coverage_per_doc, coverage_summary,
         stub_sets, contraction_repair, clean_texts, window_scan, set_names, stub_filters, sentences, sentence_ids,
-        sentence_multiplicity, boilerplate, headword_contexts, first_contexts, headword_totals, top_words,
+        sentence_multiplicity, boilerplate, headword_contexts, first_contexts, headword_totals, top_words, directions_blocks, peek_context,
     )
 }
 ORACLE = {
@@ -224,5 +235,9 @@ FROM (SELECT length(trim(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g')))
     "boilerplate": f"{_MULT} SELECT * FROM mult WHERE sittings >= 3",
     "headword_contexts": f"{_CTX} SELECT * FROM placed",
     "first_contexts": f"{_CTX} SELECT * FROM placed WHERE id < 80",
+    "peek_context": "WITH " + sentences_cte("documents", "doc_id") + """, k AS (
+  SELECT d.doc_id, text, array_to_string(list_slice(string_split(sentence, ' '), 1, 8), ' ') AS key
+  FROM documents d JOIN sentences s USING (doc_id) WHERE pos = 1), i AS (SELECT *, instr(text, key) AS hit FROM k)
+SELECT doc_id, CASE WHEN hit > 0 THEN md5(substr(text, greatest(hit - 100, 1), hit - greatest(hit - 100, 1) + length(key) + 100)) END AS h FROM i""",
     "headword_totals": f"{_SRC} SELECT word, count(*) AS total, count(DISTINCT src) AS sources FROM occ GROUP BY word",
 }
