@@ -23,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -192,15 +193,16 @@ class ScanModel:
 
     def spelled(self, word: str) -> float:
         """Log probability of a word's letters under the interpolated 4-gram model."""
-        total = 0.0
-        for g in _grams(word):
-            p = 1e-4
-            for k in range(4):
-                seen = self.context[k].get(g[3 - k : 3], 0)
-                if seen:
-                    p = 0.25 * p + 0.75 * self.orders[k].get(g[3 - k :], 0) / seen
-            total += math.log(p)
-        return total
+        return sum(map(self._letter, _grams(word)))
+
+    def _letter(self, gram: str) -> float:
+        """Log probability of the last letter of a 4-gram after the others."""
+        p = 1e-4
+        for k in range(4):
+            seen = self.context[k].get(gram[3 - k : 3], 0)
+            if seen:
+                p = 0.25 * p + 0.75 * self.orders[k].get(gram[3 - k :], 0) / seen
+        return math.log(p)
 
     def prior(self, word: str) -> float:
         n = self.word.get(word, 0)
@@ -226,8 +228,31 @@ class ScanModel:
             frontier = fresh
         return found
 
+    def _signs_undone(self, word: str) -> list[str]:
+        """Readings with every sign undone: all of them, or where there are too many to list,
+        those in the vocabulary and the one with the most probable letters."""
+        options = [_UNDO[c] if c in SIGNS else (c,) for c in word]
+        if math.prod(map(len, options)) <= 4096:
+            return ["".join(p) for p in product(*options)]
+        fits = re.compile("".join(f"[{''.join(map(re.escape, o))}]" for o in options))
+        known = [w for w in self.word if len(w) == len(word) and fits.fullmatch(w)]
+        best = {"^^^": (0.0, "")}
+        for o in [*options, ("$",)]:
+            following: dict[str, tuple[float, str]] = {}
+            for state, (score, text) in best.items():
+                for c in o:
+                    reached = (score + self._letter(state + c), text + c)
+                    following[state[1:] + c] = max(following.get(state[1:] + c, reached), reached)
+            best = following
+        return [*known, max(best.values())[1][:-1]]
+
     def readings(self, word: str) -> tuple[tuple[str, float, float, int], ...]:
-        """(reading, channel log probability, prior, first changed position), best few first."""
+        """(reading, channel log probability, prior, first changed position), best first.
+
+        All signs of a word are undone, and two confusions in all where it has fewer signs. Every
+        reading in the vocabulary is kept; of the others only the best, since no word pair can
+        speak for one of them.
+        """
         if word in self._memo:
             return self._memo[word]
         signs = sum(c in SIGNS for c in word)
@@ -237,16 +262,22 @@ class ScanModel:
         elif self.word.get(word, 0) > self.n * 2e-4 and not signs:
             out = ((word, 0.0, self.prior(word), -1),)
         else:
+            found = {word: (0, len(word))}
+            start = min((i for i, c in enumerate(word) if c in SIGNS), default=len(word))
+            for base in self._signs_undone(word) if signs else [word]:
+                for c, (k, first) in self._undone(base, max(0, 2 - signs)).items():
+                    reached = (k + signs, min(first, start))
+                    found[c] = min(found.get(c, reached), reached)
             scored = []
-            edits = min(3, max(signs, 2 if len(word) < 14 and self.word.get(word, 0) <= 30 else 1))
-            for c, (k, first) in self._undone(word, edits).items():
+            for c, (k, first) in found.items():
                 if k and any(x in SIGNS for x in c):
                     continue
                 if k > max(1, signs) and c not in self.word:
                     continue
                 scored.append((c, k * math.log(CONFUSION), self.prior(c), first if k else -1))
             scored.sort(key=lambda r: -(r[1] + r[2]))
-            out = tuple(scored[:5])
+            unknown = next((r for r in scored if r[0] not in self.word), None)
+            out = tuple(r for r in scored if r[0] in self.word or r is unknown)
             if all(r[3] >= 0 for r in out):
                 out += tuple(r for r in scored if r[3] < 0)
         if len(self._memo) > 300_000:

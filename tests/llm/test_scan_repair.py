@@ -51,6 +51,18 @@ def test_vocabulary_drops_what_the_channel_explains():
     assert "bard" not in m.word and "visitor5" not in m.word and "lake" in m.word
 
 
+def test_all_confusions_of_a_word():
+    words = {"environmentally": 400, "responsibilities": 400, "installed": 400, "the": 3000}
+    m = S.ScanModel({"word": words})
+    for bad, good in (("environrnentallv", "environmentally"), ("resp0nsibi1itie5", "responsibilities"), ("1n5t@11ed", "installed")):
+        assert m.decode(["the", bad])[1][0] == good, bad
+    near = {"hat", "bat", "hot", "haf", "bot", "baf", "hof"}
+    m = S.ScanModel({"word": dict.fromkeys(near, 40) | {"the": 10_000_000}})
+    assert near <= {r[0] for r in m.readings("hat")}
+    m = S.ScanModel({"word": {"lil" * 6: 40}})
+    assert "lil" * 6 in {r[0] for r in m.readings("1|l" + "1|!" * 5)}
+
+
 def test_operator(spark):
     rows = [(i, CLEAN) for i in range(30)] + [(90, CLEAN.replace("modern", "rnodern")), (91, None), (92, ""), (90, "The exarn.")]
     df = spark.createDataFrame(rows, "ctx_id bigint, text string").selectExpr("*", "1 as line_no", "'x' as repaired", "2 as _id")
