@@ -10,8 +10,9 @@ their document, against headings, which stand once in many documents. A word cut
 is joined over page breaks; a compound known with its hyphen keeps it.
 
 Corpus counts (words, word pairs, character 4-grams, title lines) are gathered in one pass with
-partial counts per task. Keys below `min_share` of their kind are dropped, so the model handed
-to the tasks has at most `kinds / min_share` entries whatever the size of the corpus.
+partial counts per task. Keys below `min_share` of their kind or counted less than three times are
+dropped, so the model handed to the tasks has at most `kinds / min_share` entries whatever the size
+of the corpus.
 
 Defined cases: null texts give no defects and stay null; empty texts stay empty; a text of
 nothing but furniture becomes empty. Line numbers count from 0 between \\n characters.

@@ -9,8 +9,8 @@ polite particle before a space, the ASCII stop ends nothing in CJK and Devanagar
 speech and brackets are matched first and never cut inside.
 
 The corpus evidence is counted in one pass with partial counts per task. Only keys that make
-up at least `min_share` of their kind are kept, so the table handed to the tasks has at most
-`kinds / min_share` entries whatever the size of the corpus.
+up at least `min_share` of their kind in a language are kept, so the table handed to the tasks has
+at most `languages * kinds / min_share` entries whatever the size of the corpus.
 
 Defined cases: null text gives no sentences (an empty array in `add_sentences`), as do empty
 and blank texts; unbalanced quotes and brackets protect nothing.
@@ -359,30 +359,43 @@ def _is_heading(text: str, line: str, at: int, nxt: int, start: int) -> bool:
 
 
 def corpus_model(
-    df: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE
+    df: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE, lang_col: str = "lang"
 ) -> CorpusModel:
-    """Count evidence over all rows; keep keys of at least `min_share` of their kind."""
+    """Count evidence over all rows; keep keys of at least `min_share` of their kind in a language.
+
+    Without a column `lang_col` all rows are one language.
+    """
+
+    def frame(total: dict[tuple[str | None, str], Counter]) -> pd.DataFrame:
+        rows = [(lang, k, w, n) for (lang, k), c in total.items() for w, n in c.items()]
+        return pd.DataFrame(rows, columns=["lang", "kind", "key", "n"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, Counter] = {}
+        total: dict[tuple[str | None, str], Counter] = {}
         for batch in batches:
-            for text in batch["_text"]:
+            for lang, text in zip(batch["_lang"], batch["_text"]):
                 for kind, c in document_evidence(text).items():
-                    total.setdefault(kind, Counter()).update(c)
+                    total.setdefault((lang, kind), Counter()).update(c)
             if sum(map(len, total.values())) > 200_000:
-                yield pd.DataFrame([(k, w, n) for k, c in total.items() for w, n in c.items()], columns=["kind", "key", "n"])
+                yield frame(total)
                 total = {}
         if total:
-            yield pd.DataFrame([(k, w, n) for k, c in total.items() for w, n in c.items()], columns=["kind", "key", "n"])
+            yield frame(total)
 
-    texts = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text"))
+    lang = F.col(lang_col).cast("string") if lang_col in df.columns else F.lit(None).cast("string")
+    texts = df.where(F.col(text_col).isNotNull()).select(
+        F.coalesce(lang, F.lit("")).alias("_lang"), F.col(text_col).alias("_text")
+    )
     counts = (
-        texts.mapInPandas(count, "kind string, key string, n bigint")
-        .groupBy("kind", "key")
+        texts.mapInPandas(count, "lang string, kind string, key string, n bigint")
+        .groupBy("lang", "kind", "key")
         .agg(F.sum("n").alias("n"))
     )
-    kinds = counts.groupBy("kind").agg(F.sum("n").alias("total"))
-    kept = counts.join(kinds, "kind").where(F.col("n") >= F.col("total") * F.lit(min_share))
+    kinds = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
+    shares = counts.join(kinds, ["lang", "kind"]).groupBy("kind", "key").agg(
+        F.sum("n").alias("n"), F.max(F.col("n") / F.col("total")).alias("share")
+    )
+    kept = shares.where(F.col("share") >= F.lit(min_share))
     return CorpusModel({(r["kind"], r["key"]): r["n"] for r in kept.select("kind", "key", "n").collect()})
 
 

@@ -51,6 +51,14 @@ def test_edges():
     assert S.split_points("。。。!!!...???", MODEL)[0] == 0
 
 
+def test_rare_language_keeps_its_evidence(spark):
+    rows = [(f"w{chr(97 + i % 26)}{chr(97 + i // 26)} here again.", "en") for i in range(400)] + [("wegen usw. und so weiter", "de")] * 2
+    df = spark.createDataFrame(rows, "text string, lang string")
+    m = S.corpus_model(df, min_share=0.01)
+    assert "wegen" in m.low and "usw" in m.abbreviation and "wab" not in m.low
+    assert "wegen" not in S.corpus_model(df.drop("lang"), min_share=0.01).low
+
+
 def test_operator(spark):
     rows = [(1, "Mr. Wim left. It rained.", "old"), (2, None, "x"), (3, "", None), (1, "Mr. Wim left. It rained.", "old")]
     df = spark.createDataFrame(rows, "ctx_id bigint, text string, sents string").selectExpr("*", "7 as sent_start", "8 as _id")
