@@ -8,7 +8,8 @@ share to the others, which is as near to the targets as the repeats allow.
 
 The cumulative tokens of a source are found in two levels, so no source stands in one task: a
 source is cut into `BUCKETS`-wise ranges of its shuffle order, range totals are summed in a
-small table, and rows are summed inside their range. Only per-source totals, one row for each
+small table, and rows are summed inside their range. The rows after the budget's end time, which
+fill what whole documents left of it, are summed in ranges of their time likewise. Only per-source totals, one row for each
 row of the targets table, come to the driver, to find the virtual time at which the budget ends
 and the repeats it needs, so repeats beyond the budget are never made.
 
@@ -110,9 +111,16 @@ def mix(
     timed = cut(timed.where(F.col("finish") <= F.lit(end * (1 + 1e-9) + max([0.0, *(r["available"] / r["share"] for r in plan)]))))
     kept = timed.where(F.col("finish") <= F.lit(end * (1 + 1e-12)))
     used = kept.agg(F.sum("tokens")).first()[0] or 0
-    rest = timed.where(F.col("finish") > F.lit(end * (1 + 1e-12))).orderBy("finish", "source", "doc_id", "repeat").limit(8 * max(1, len(plan)))
-    run = W.orderBy("finish", "source", "doc_id", "repeat").rowsBetween(W.unboundedPreceding, 0)
-    tail = rest.withColumn("total", F.sum("tokens").over(run)).where(F.col("total") <= F.lit(budget - used)).drop("total")
+    order = ["finish", "source", "doc_id", "repeat"]
+    rest = timed.where(F.col("finish") > F.lit(end * (1 + 1e-12)))
+    rest = cut(rest.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = rest.groupBy("range").agg(F.sum("tokens").alias("range_tokens"))
+    starts = starts.select("range", F.coalesce(F.sum("range_tokens").over(earlier), F.lit(0)).alias("range_start"))
+    starts = starts.where(F.col("range_start") <= F.lit(budget - used))
+    run = W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    tail = rest.join(starts, "range").withColumn("total", F.col("range_start") + F.sum("tokens").over(run))
+    tail = tail.where(F.col("total") <= F.lit(budget - used)).select(*timed.columns)
     collection = kept.unionByName(tail)
     taken = collection.groupBy("source").agg(F.sum("tokens").alias("taken"), F.count(F.lit(1)).alias("documents"))
     everything = targets.where(F.col("source").isNotNull()).groupBy("source").agg(

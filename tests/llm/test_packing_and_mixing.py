@@ -120,3 +120,12 @@ def test_mixture_edges(spark):
     assert M.mix(df.limit(0), targets)[0].count() == 0
     assert M.mix(df, targets.limit(0))[1].count() == 0
     assert df.where(F.col("text").isNull()).count() == 1
+
+
+def test_mixture_fills_budget_with_short_documents(spark):
+    rows = [(i, "a", "a") for i in range(4000)] + [(4000 + i, " ".join(["word"] * 900), "b") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.9, 1), ("b", 0.1, 1)], "source string, target_share double, max_repeats int")
+    size = count_tokens(rows[-1][1])
+    mixed = M.mix(df, targets, budget=1000)[0].groupBy("source").sum("tokens").collect()
+    assert size >= 500 and {r[0]: r[1] for r in mixed} == {"a": 1000}
