@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.functions.text import IRREGULAR, NUMERALS, ROMAN_JUNK, WORD, space_class
+from millrace.functions.text import IRREGULAR, NUMERALS, ROMAN_JUNK, WORD, fold_table, space_class
 
 WS = f"[{space_class('re2')}]"
 
@@ -11,6 +11,16 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def fold_sql(text: str) -> str:
+    """Full case folding: letters one for one, then those that become several."""
+    one = {a: b for a, b in fold_table().items() if len(b) == 1}
+    out = f"translate(lower({text}), {quoted(''.join(one))}, {quoted(''.join(one.values()))})"
+    for a, b in fold_table().items():
+        if len(b) > 1:
+            out = f"replace({out}, {quoted(a)}, {quoted(b)})"
+    return out
+
+
 def tokens_cte(table: str, keep: str, text: str = "text", where: str = "TRUE", name: str = "tokens") -> str:
     """CTEs that end in `name`: the keep columns and `word`, one row per corpus word."""
     curly = f"translate({text}, '’‘“”–—', '''''\"\"--')"
