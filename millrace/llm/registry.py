@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import format_copies, mixing, mojibake, one_form, packing, repeated_lines, scan_repair, sentence_bounds
+from millrace.plans.sql import fold_sql
 from millrace.sources import read_table
 
 
@@ -22,6 +23,13 @@ def p1_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.remove_repeated_lines(pages)
 
 
+def p1_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Covering templates with their wildcard slots, of the trees grown from both line ends."""
+    pages = _form(spark, sf_dir, "page")
+    front = repeated_lines.covering_templates(pages).withColumn("grown", F.lit("front"))
+    return front.unionByName(repeated_lines.covering_templates(pages, backward=True).withColumn("grown", F.lit("back")))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_copies.context_copies(read_table(spark, sf_dir, "contexts", spread=True))
 
@@ -89,6 +97,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_cleaned": p1_cleaned,
+    "p1_templates": p1_templates,
     "p2_found": p2_found,
     "p2_collapsed": p2_collapsed,
     "p3_found": p3_found,
@@ -106,7 +115,13 @@ QUERIES = {
     "p8_restored": p8_restored,
 }
 
-_P1_FOUND = """
+_LETTERS = r"[^\p{L}]+"
+_LETTERS_DIGITS = r"[^\p{L}\p{Nd}]+"
+_LINE_KEY = fold_sql(f"regexp_replace(line, '{_LETTERS}', '', 'g')")
+_TEXT_KEY = fold_sql(f"regexp_replace(text, '{_LETTERS_DIGITS}', '', 'g')")
+_VALUE_KEY = fold_sql(f"regexp_replace(coalesce(value, ''), '{_LETTERS_DIGITS}', '', 'g')")
+
+_P1_FOUND = f"""
 WITH pages AS (
   SELECT ctx_id, src, text FROM contexts WHERE form = 'page' AND text IS NOT NULL AND src IS NOT NULL
 ), parts AS (
@@ -114,7 +129,7 @@ WITH pages AS (
 ), lines AS (
   SELECT ctx_id, src, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM parts
 ), keyed AS (
-  SELECT ctx_id, src, i, replace(lower(upper(regexp_replace(line, '[^\\p{L}]+', '', 'g'))), 'ß', 'ss') AS k FROM lines
+  SELECT ctx_id, src, i, {_LINE_KEY} AS k FROM lines
 ), totals AS (
   SELECT src, count(*) AS pages FROM pages GROUP BY src
 ), covering AS (
@@ -123,24 +138,24 @@ WITH pages AS (
 )
 """
 
-_P2_KEYED = """
+_P2_KEYED = f"""
 WITH rows_ AS (
   SELECT ctx_id, word, form, text, n FROM contexts WHERE form IN ('sentence', 'card') AND text IS NOT NULL
 ), sentences AS (
-  SELECT ctx_id, word, form, replace(lower(upper(regexp_replace(text, '[^\\p{L}\\p{Nd}]+', '', 'g'))), 'ß', 'ss') AS k
+  SELECT ctx_id, word, form, {_TEXT_KEY} AS k
   FROM rows_ WHERE form = 'sentence'
 ), json_items AS (
   SELECT ctx_id, lower(trim(key)) AS name, json_extract_string(text, '$."' || key || '"') AS value
   FROM (SELECT ctx_id, text, unnest(json_keys(text)) AS key FROM rows_
-        WHERE form = 'card' AND ltrim(text, ' ' || chr(10) || chr(13) || chr(9)) LIKE '{%')
+        WHERE form = 'card' AND ltrim(text, ' ' || chr(10) || chr(13) || chr(9)) LIKE '{{%')
 ), plain_items AS (
   SELECT ctx_id, lower(trim(string_split(item, ':')[1])) AS name, substr(item, instr(item, ':') + 1) AS value
   FROM (SELECT ctx_id, unnest(string_split_regex(trim(text, ' ' || chr(10) || chr(13) || chr(9)),
                '\\r\\n|\\n|\\r| \\| |; ')) AS item
-        FROM rows_ WHERE form = 'card' AND ltrim(text, ' ' || chr(10) || chr(13) || chr(9)) NOT LIKE '{%')
+        FROM rows_ WHERE form = 'card' AND ltrim(text, ' ' || chr(10) || chr(13) || chr(9)) NOT LIKE '{{%')
   WHERE trim(item) <> ''
 ), cards AS (
-  SELECT ctx_id, string_agg(name || '=' || replace(lower(upper(regexp_replace(coalesce(value, ''), '[^\\p{L}\\p{Nd}]+', '', 'g'))), 'ß', 'ss'), '&' ORDER BY name, value) AS k
+  SELECT ctx_id, string_agg(name || '=' || {_VALUE_KEY}, '&' ORDER BY name, value) AS k
   FROM (SELECT * FROM json_items UNION ALL SELECT * FROM plain_items) GROUP BY ctx_id
 ), keyed AS (
   SELECT ctx_id, word, form, k FROM sentences

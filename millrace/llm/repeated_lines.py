@@ -1,15 +1,25 @@
 """Lines that one source repeats over many of its documents.
 
-Each line is reduced to its stream of letters (case folded) and parsed into a token tree of
-fixed depth: the first level is the number of tokens, the next `DEPTH` levels are the first
-tokens, the leaf is the whole stream. Everything that is not a letter - counters, bullets,
-bars, spacing - is a wildcard slot, so it never splits a template. Tokens are blocks of
-`TOKEN` letters, not words, so that a line keeps its path when its spacing changes.
-
-Every map task builds the trees of its own rows as partial aggregates; the shuffle merges them
-by (source, node, leaf), after one document counts each of its lines once. Templates covering
-enough documents of their source are then looked up line by line. Both sides are joined by
-hash keys of 16 bytes; no text is shuffled and no source is gathered in one task.
+Two lines are the same when their letters are, case folded; digits, bullets, bars and spacing are
+slots of any content. A line walks down its source's token tree of fixed depth. The inner levels
+are its first two tokens, cut where the letters themselves say so (`TOKEN`), so that a line
+takes the same way however it is spaced; a second tree (`backward`) goes by the last tokens, for
+lines whose beginning changes. The leaf levels are the line's words: up to four from the front,
+all of the middle as one, up to four from the back. On a level a word has a branch of its own only if it
+covers enough documents of the source there; any other word goes down the wildcard branch, and
+between the first and the last wildcard every word does. So lines that differ in one word (a
+weekday, a number in words) end in one template with a wildcard there.
+
+Trees are partial aggregates of each map task, merged by the shuffle: first the inner nodes
+(source, node), one small record each; only lines under a node that covers enough documents go
+on to the leaves. That loses nothing: whatever covers enough documents has only nodes and words
+that do. A template is a leaf path whose lines together cover enough documents.
+`find_repeated_lines` then verifies the content of the lines of covering templates: of these it
+gives the lines whose own letters stand in enough documents.
+
+Nodes and found contents (at most 1 / `min_share` times the lines of a page per source) are
+counted before they are used; up to `BROADCAST_ROWS` of them are broadcast, more are joined by
+shuffle. No text is shuffled but that of lines under covering nodes, once per task and content.
 
 Defined cases: null text or source, lines without letters and empty tables give no rows; a
 document that repeats a line counts once, but each place is reported; rows with equal ids are
@@ -22,9 +32,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import case_fold
+from millrace.plans.checkpoints import cut
 
-TOKEN = 6
-DEPTH = 4
+#: A token is one ideograph, or up to ten letters that end after one of the common last letters.
+_END = "edsyéаяейьςη"
+_FAR = r"\p{IsHan}"
+TOKEN = rf"[{_FAR}]|[^{_FAR}{_END}]{{0,9}}[{_END}]|[^{_FAR}{_END}]{{1,10}}"
+INNER = 2
+FRONT = 4
+BACK = 4
+BROADCAST_ROWS = 500_000
+WILD = "*"
 
 
 def letter_streams(text: Column) -> Column:
@@ -33,11 +51,45 @@ def letter_streams(text: Column) -> Column:
     return F.split(case_fold(letters), "\n", -1)
 
 
-def _tree_key(stream: Column) -> Column:
-    """(node, leaf): the path of fixed depth and the whole stream, each as 64 bits."""
-    n_tokens = F.ceil(F.length(stream) / F.lit(TOKEN))
-    node = F.xxhash64(n_tokens, *[F.substring(stream, 1 + TOKEN * i, TOKEN) for i in range(DEPTH)])
-    return F.struct(node.alias("_node"), F.xxhash64(F.lit("leaf"), stream).alias("_leaf"))
+def spaced_lines(text: Column) -> Column:
+    """Array of the lines' words: letters as in `letter_streams`, parted by single spaces."""
+    return F.transform(F.split(case_fold(F.regexp_replace(text, r"[^\p{L}\n]+", " ")), "\n", -1), lambda s: F.trim(s))
+
+
+def _head(stream: Column) -> Column:
+    """The first two tokens, which stand in the first twenty letters."""
+    return F.regexp_extract(F.substring(stream, 1, 20), f"^(?:{TOKEN}){{1,{INNER}}}", 0)
+
+
+def _tail(stream: Column) -> Column:
+    tokens = F.regexp_extract_all(stream, F.lit(f"({TOKEN})"), F.lit(1))
+    return F.array_join(F.slice(tokens, -F.least(F.size(tokens), F.lit(INNER)), INNER), "")
+
+
+def _node(stream: Column, backward: bool) -> Column:
+    return F.xxhash64(F.lit(backward), _tail(stream) if backward else _head(stream))
+
+
+def _content(stream: Column) -> Column:
+    """128 bits of a line's letters."""
+    return F.struct(F.xxhash64(F.lit("a"), stream).alias("a"), F.xxhash64(F.lit("b"), stream).alias("b"))
+
+
+def _slots(words: Column) -> Column:
+    """Words of a line by leaf level; levels a short line does not reach are empty."""
+    n = F.size(words)
+    front, back = F.least(F.lit(FRONT), F.ceil(n / 2)), F.least(F.lit(BACK), F.floor(n / 2))
+    first = [F.when(front > i, F.get(words, F.lit(i))).otherwise("") for i in range(FRONT)]
+    middle = F.array_join(F.slice(words, FRONT + 1, F.greatest(n - FRONT - BACK, F.lit(0))), " ")
+    last = [F.when(back >= k, F.get(words, n - k)).otherwise("") for k in range(BACK, 0, -1)]
+    return F.array(*first, middle, *last)
+
+
+def _template(path: Column) -> Column:
+    """A leaf path as text: what stands before its first and after its last wildcard."""
+    upto = lambda p: F.slice(p, 1, (F.array_position(p, WILD) - 1).cast("int"))
+    cut_out = F.concat(upto(path), F.array(F.lit(WILD)), F.reverse(upto(F.reverse(path))))
+    return F.array_join(F.filter(F.when(F.array_contains(path, WILD), cut_out).otherwise(path), lambda t: t != ""), " ")
 
 
 def _source_rows(df: DataFrame, id_col: str, text_col: str, src_col: str) -> DataFrame:
@@ -46,18 +98,68 @@ def _source_rows(df: DataFrame, id_col: str, text_col: str, src_col: str) -> Dat
     )
 
 
-def template_counts(
-    df: DataFrame, id_col: str = "ctx_id", text_col: str = "text", src_col: str = "src"
+def _sized(df: DataFrame) -> DataFrame:
+    """Written once; broadcast only if it was counted to have at most `BROADCAST_ROWS` rows."""
+    done = cut(df)
+    return F.broadcast(done) if done.count() <= BROADCAST_ROWS else done
+
+
+def _lines(rows: DataFrame, backward: bool) -> DataFrame:
+    """(_id, _src, _s, _words, _first, _node): the lines of each document in all their spacings;
+    `_first` marks one of the spacings of a content."""
+    text = F.col("_text")
+    pairs = F.filter(F.arrays_zip(letter_streams(text).alias("s"), spaced_lines(text).alias("w")), lambda p: p["s"] != "")
+    rows = rows.select("_id", "_src", F.sort_array(F.array_distinct(pairs)).alias("_pairs"))
+    first = lambda p, i: (i == 0) | (F.get("_pairs", i - 1)["s"] != p["s"])
+    marked = F.transform("_pairs", lambda p, i: F.struct(p["s"].alias("s"), p["w"].alias("w"), first(p, i).alias("first")))
+    lines = rows.select("_id", "_src", F.explode(marked).alias("_p"))
+    lines = lines.select("_id", "_src", F.col("_p.s").alias("_s"), F.col("_p.w").alias("_words"), F.col("_p.first").alias("_first"))
+    return lines.withColumn("_node", _node(F.col("_s"), backward))
+
+
+def node_counts(
+    df: DataFrame, id_col: str = "ctx_id", text_col: str = "text", src_col: str = "src", backward: bool = False
 ) -> DataFrame:
-    """Merged trees: (_src, _node, _leaf, _docs), one row per leaf, any coverage."""
+    """Merged inner nodes of the trees: (_src, _node, _docs), one row per node, any coverage."""
     rows = _source_rows(df, id_col, text_col, src_col)
     streams = F.filter(letter_streams(F.col("_text")), lambda s: s != "")
-    keys = F.array_distinct(F.transform(streams, _tree_key))
-    return (
-        rows.select("_src", F.explode(keys).alias("_k"))
-        .groupBy("_src", F.col("_k._node").alias("_node"), F.col("_k._leaf").alias("_leaf"))
-        .agg(F.count(F.lit(1)).alias("_docs"))
+    keys = F.array_distinct(F.transform(streams, lambda s: _node(s, backward)))
+    return rows.select("_src", F.explode(keys).alias("_node")).groupBy("_src", "_node").agg(F.count(F.lit(1)).alias("_docs"))
+
+
+def _leaves(df: DataFrame, columns: tuple[str, str, str], min_docs: int, min_share: float, backward: bool):
+    """(covering nodes with `_need` and `_pages`, contents under them with their template)."""
+    rows = _source_rows(df, *columns)
+    totals = rows.groupBy("_src").agg(F.count(F.lit(1)).alias("_pages"))
+    need = F.greatest(F.lit(min_docs), F.ceil(F.col("_pages") * F.lit(min_share) - F.lit(1e-9)))
+    nodes = (
+        node_counts(df, *columns, backward)
+        .where(F.col("_docs") >= min_docs)
+        .join(totals.select("_src", "_pages", need.cast("bigint").alias("_need")), "_src")
+        .where(F.col("_docs") >= F.col("_need"))
+        .select("_src", "_node", "_need", "_pages")
     )
+    nodes = _sized(nodes)
+    leaf = ["_src", "_node"]
+    contents = cut(
+        _lines(rows, backward)
+        .join(nodes, leaf)
+        .groupBy(*leaf, "_need", "_pages", "_s")
+        .agg(F.count_if("_first").alias("_docs"), F.min("_words").alias("_words"))
+    )
+    slots = contents.select(*leaf, "_need", "_s", "_docs", F.posexplode(_slots(F.split("_words", " "))).alias("_at", "_word"))
+    frequent = (
+        slots.groupBy(*leaf, "_need", "_at", "_word").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= F.col("_need"))
+    ).select(*leaf, "_at", "_word", F.lit(True).alias("_kept"))
+    branch = F.when(F.col("_kept"), F.col("_word")).otherwise(WILD)
+    paths = (
+        slots.join(frequent, [*leaf, "_at", "_word"], "left")
+        .groupBy(*leaf, "_s")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", branch.alias("_branch")))).alias("_path"))
+        .select(*leaf, "_s", F.transform("_path", lambda p: p["_branch"]).alias("_path"))
+        .select(*leaf, "_s", _template(F.col("_path")).alias("_template"))
+    )
+    return rows, nodes, contents.join(paths, [*leaf, "_s"])
 
 
 def covering_templates(
@@ -67,21 +169,32 @@ def covering_templates(
     src_col: str = "src",
     min_docs: int = 5,
     min_share: float = 0.02,
+    backward: bool = False,
 ) -> DataFrame:
-    """Leaves standing in `min_docs` documents and in `min_share` of their source's documents."""
-    counts = template_counts(df, id_col, text_col, src_col).where(F.col("_docs") >= min_docs)
-    totals = (
-        _source_rows(df, id_col, text_col, src_col)
-        .groupBy("_src")
-        .agg(F.count(F.lit(1)).alias("_pages"))
-    )
+    """(src, template, docs, pages, contents): templates whose lines stand in `min_docs` documents
+    and in `min_share` of their source's documents, as words with `*` for the wildcards."""
+    rows, nodes, leaves = _leaves(df, (id_col, text_col, src_col), min_docs, min_share, backward)
+    placed = _lines(rows, backward).join(nodes.select("_src", "_node"), ["_src", "_node"], "left_semi")
+    per_doc = placed.join(leaves.select("_src", "_node", "_s", "_need", "_pages", F.col("_template").alias("template")), ["_src", "_node", "_s"])
+    per_doc = per_doc.groupBy("_src", "_need", "_pages", "template", "_id").agg(F.count(F.lit(1)).alias("_k"))
+    docs = per_doc.groupBy("_src", "_need", "_pages", "template").agg(F.count(F.lit(1)).alias("docs"))
+    kinds = leaves.groupBy("_src", F.col("_template").alias("template")).agg(F.count_distinct("_s").alias("contents"))
     return (
-        counts.join(totals, "_src")
-        .where(F.col("_docs") >= F.col("_pages") * F.lit(min_share) - F.lit(1e-9))
-        .select("_src", "_node", "_leaf", "_docs", "_pages")
+        docs.where(F.col("docs") >= F.col("_need"))
+        .join(kinds, ["_src", "template"])
+        .select(F.col("_src").alias(src_col), "template", "docs", F.col("_pages").alias("pages"), "contents")
     )
 
 
+def _repeated(df: DataFrame, columns: tuple[str, str, str], min_docs: int, min_share: float) -> DataFrame:
+    """(_src, _found): contents of covering templates, verified one by one, as 128-bit keys."""
+    _, _, leaves = _leaves(df, columns, min_docs, min_share, False)
+    leaf = ["_src", "_node", "_template"]
+    covering = leaves.groupBy(*leaf, "_need").agg(F.sum("_docs").alias("_lines")).where(F.col("_lines") >= F.col("_need"))
+    verified = leaves.join(covering.select(*leaf), leaf).where(F.col("_docs") >= F.col("_need"))
+    return _sized(verified.groupBy("_src").agg(F.collect_list(_content(F.col("_s"))).alias("_found")))
+
+
 def find_repeated_lines(
     df: DataFrame,
     id_col: str = "ctx_id",
@@ -90,22 +203,12 @@ def find_repeated_lines(
     min_docs: int = 5,
     min_share: float = 0.02,
 ) -> DataFrame:
-    """(id, line_no, docs, pages, src) of every line covered by a covering template."""
-    found = covering_templates(df, id_col, text_col, src_col, min_docs, min_share)
-    lines = (
-        _source_rows(df, id_col, text_col, src_col)
-        .select("_id", "_src", F.posexplode(letter_streams(F.col("_text"))).alias("line_no", "_s"))
-        .where(F.col("_s") != "")
-        .select("_id", "_src", "line_no", _tree_key(F.col("_s")).alias("_k"))
-        .select("_id", "_src", "line_no", "_k._node", "_k._leaf")
-    )
-    return lines.join(found, ["_src", "_node", "_leaf"]).select(
-        F.col("_id").alias(id_col),
-        "line_no",
-        F.col("_docs").alias("docs"),
-        F.col("_pages").alias("pages"),
-        F.col("_src").alias(src_col),
-    )
+    """(id, line_no, src) of every line of a covering template whose content itself covers enough."""
+    found = _repeated(df, (id_col, text_col, src_col), min_docs, min_share)
+    pages = _source_rows(df, id_col, text_col, src_col).join(found, "_src")
+    lines = pages.select("_id", "_src", "_found", F.posexplode(letter_streams(F.col("_text"))).alias("line_no", "_s"))
+    hits = lines.where((F.col("_s") != "") & F.array_contains("_found", _content(F.col("_s"))))
+    return hits.select(F.col("_id").alias(id_col), "line_no", F.col("_src").alias(src_col))
 
 
 def remove_repeated_lines(
@@ -119,21 +222,19 @@ def remove_repeated_lines(
     """All rows and columns of `df` with the repeated lines taken out of `text_col`.
 
     `lines_removed` (replaced if there is such a column) counts them. Rows with nothing to
-    remove, null texts among them, come out as they are.
+    remove, null texts among them, come out as they are. Texts meet their source's contents where
+    they lie; nothing is put together again by a shuffle.
     """
-    found = find_repeated_lines(df, id_col, text_col, src_col, min_docs, min_share)
-    per_doc = found.groupBy(F.col(id_col).alias("_rm_id")).agg(
-        F.collect_set("line_no").alias("_rm_lines")
-    )
-    joined = df.join(per_doc, F.col(id_col) == F.col("_rm_id"), "left")
-    kept = F.filter(
-        F.split(F.col(text_col), "\n", -1),
-        lambda _, i: ~F.array_contains(F.col("_rm_lines"), i),
-    )
-    text = F.when(F.col("_rm_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    removed = F.coalesce(F.size("_rm_lines"), F.lit(0))
+    found = _repeated(df, (id_col, text_col, src_col), min_docs, min_share).select(F.col("_src").alias("_rm_src"), F.col("_found").alias("_rm_found"))
+    joined = df.join(found, F.col(src_col) == F.col("_rm_src"), "left")
+    streams = letter_streams(F.col(text_col))
+    gone = F.transform(streams, lambda s: (s != "") & F.array_contains("_rm_found", _content(s)))
+    joined = joined.withColumn("_rm_gone", F.when(F.col("_rm_found").isNotNull() & F.col(text_col).isNotNull(), gone))
+    count = F.coalesce(F.size(F.filter("_rm_gone", lambda g: g)), F.lit(0))
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.col("_rm_gone")[i])
+    removed = F.when(F.col("_rm_gone").isNull(), 0).otherwise(count)
     return (
-        joined.withColumn("lines_removed", F.when(F.col("_rm_lines").isNull(), 0).otherwise(removed))
-        .withColumn(text_col, text)
-        .drop("_rm_id", "_rm_lines")
+        joined.withColumn("lines_removed", removed)
+        .withColumn(text_col, F.when(F.col("lines_removed") > 0, F.array_join(kept, "\n")).otherwise(F.col(text_col)))
+        .drop("_rm_src", "_rm_found", "_rm_gone")
     )

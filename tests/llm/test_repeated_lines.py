@@ -1,13 +1,14 @@
 import random
 from collections import defaultdict
 
-from millrace.llm.repeated_lines import find_repeated_lines, remove_repeated_lines, template_counts
+from millrace.llm import repeated_lines
+from millrace.llm.repeated_lines import covering_templates, find_repeated_lines, node_counts, remove_repeated_lines
 
 SCHEMA = "ctx_id bigint, src string, text string"
 
 
 def letters(line):
-    return "".join(c for c in line if c.isalpha()).upper().lower()
+    return "".join(c for c in line if c.isalpha()).casefold()
 
 
 def brute(rows, least=5, share=0.02):
@@ -31,7 +32,7 @@ def brute(rows, least=5, share=0.02):
 
 def data(n=400, seed=3):
     random.seed(seed)
-    legal = ["All rights reserved {}", "• ALL RIGHTS   reserved.", "all rights re-served", "Teile diese Straße {}", "TEILE DIESE STRASSE", "分享本页 {}", "Пишите нам"]
+    legal = ["All rights reserved {}", "• ALL RIGHTS   reserved.", "all rights re-served", "Teile diese Straße {}", "TEILE DIESE STRASSE", "分享本页 {}", "Пишите нам", "ſun and ﬁne", "SUN AND FINE", "λογος", "ΛΟΓΟΣ"]
     rows = []
     for i in range(n):
         src = random.choice(["hot"] * 4 + ["a", "b", None])
@@ -69,4 +70,34 @@ def test_removal_keeps_rows_columns_and_clashing_names(spark):
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert find_repeated_lines(df).count() == 0 and template_counts(df).count() == 0 and remove_repeated_lines(df).count() == 0
+    assert find_repeated_lines(df).count() == 0 and node_counts(df).count() == 0 and covering_templates(df).count() == 0 and remove_repeated_lines(df).count() == 0
+
+
+WORDS = "one two three four five six seven eight nine ten eleven twelve".split()
+
+
+def test_lines_with_one_changing_word_share_a_template(spark):
+    rows = [(i, "s", f"Body {w * 3} alone\nPage {w} of the Herald archive\n{w} readers like this page today") for i, w in enumerate(WORDS)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [(r["template"], r["docs"]) for r in covering_templates(df).collect()] == [("body * alone", 12)]
+    back = {r["template"]: (r["docs"], r["contents"]) for r in covering_templates(df, backward=True).collect()}
+    assert back == {"page * of the herald archive": (12, 12), "* readers like this page today": (12, 12)}
+    turned = spark.createDataFrame([(i, "s", f"Herald archive page {w} of thirty\nHerald archive {w} {w}") for i, w in enumerate(WORDS)], SCHEMA)
+    front = {r["template"]: (r["docs"], r["contents"]) for r in covering_templates(turned).collect()}
+    assert front == {"herald archive page * of thirty": (12, 12), "herald archive *": (12, 12)}
+    assert find_repeated_lines(df).count() == 0
+
+
+def test_spacing_does_not_split_templates(spark):
+    shapes = ["Page one of the Herald archive", "PAGE ONE: of the herald-archive", "Pageone ofthe Heraldarchive", "Page 7 one of the (Herald) archive", "page one of the herald archive 12"]
+    df = spark.createDataFrame([(i, "s", t) for i, t in enumerate(shapes)], SCHEMA)
+    assert [(r["docs"], r["contents"]) for r in covering_templates(df).collect()] == [(5, 1)]
+    assert find_repeated_lines(df).count() == 5
+
+
+def test_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(repeated_lines, "BROADCAST_ROWS", 0)
+    rows = data(200)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {(r["ctx_id"], r["line_no"]) for r in find_repeated_lines(df).collect()} == brute(rows)
+    assert sum(r["lines_removed"] for r in remove_repeated_lines(df).collect()) == len(brute(rows))
