@@ -2,7 +2,7 @@
 
 Two lines are the same when their letters are, case folded; digits, bullets, bars and spacing are
 slots of any content. A line walks down its source's token tree of fixed depth. The inner levels
-are its first two tokens, cut where the letters themselves say so (`TOKEN`), so that a line
+are its first three tokens, cut where the letters themselves say so (`TOKEN`), so that a line
 takes the same way however it is spaced; a second tree (`backward`) goes by the last tokens, for
 lines whose beginning changes. The leaf levels are the line's words: up to four from the front,
 all of the middle as one, up to four from the back. On a level a word has a branch of its own only if it
@@ -38,7 +38,7 @@ from millrace.plans.checkpoints import cut
 _END = "edsyéаяейьςη"
 _FAR = r"\p{IsHan}"
 TOKEN = rf"[{_FAR}]|[^{_FAR}{_END}]{{0,9}}[{_END}]|[^{_FAR}{_END}]{{1,10}}"
-INNER = 2
+INNER = 3
 FRONT = 4
 BACK = 4
 BROADCAST_ROWS = 500_000
@@ -51,14 +51,9 @@ def letter_streams(text: Column) -> Column:
     return F.split(case_fold(letters), "\n", -1)
 
 
-def spaced_lines(text: Column) -> Column:
-    """Array of the lines' words: letters as in `letter_streams`, parted by single spaces."""
-    return F.transform(F.split(case_fold(F.regexp_replace(text, r"[^\p{L}\n]+", " ")), "\n", -1), lambda s: F.trim(s))
-
-
 def _head(stream: Column) -> Column:
-    """The first two tokens, which stand in the first twenty letters."""
-    return F.regexp_extract(F.substring(stream, 1, 20), f"^(?:{TOKEN}){{1,{INNER}}}", 0)
+    """The first tokens, of at most ten letters each."""
+    return F.regexp_extract(F.substring(stream, 1, 10 * INNER), f"^(?:{TOKEN}){{1,{INNER}}}", 0)
 
 
 def _tail(stream: Column) -> Column:
@@ -108,7 +103,9 @@ def _lines(rows: DataFrame, backward: bool) -> DataFrame:
     """(_id, _src, _s, _words, _first, _node): the lines of each document in all their spacings;
     `_first` marks one of the spacings of a content."""
     text = F.col("_text")
-    pairs = F.filter(F.arrays_zip(letter_streams(text).alias("s"), spaced_lines(text).alias("w")), lambda p: p["s"] != "")
+    spaced = F.split(case_fold(F.regexp_replace(text, r"[^\p{L}\n]+", " ")), "\n", -1)
+    pairs = F.transform(spaced, lambda w: F.struct(F.replace(w, F.lit(" "), F.lit("")).alias("s"), F.trim(w).alias("w")))
+    pairs = F.filter(pairs, lambda p: p["s"] != "")
     rows = rows.select("_id", "_src", F.sort_array(F.array_distinct(pairs)).alias("_pairs"))
     first = lambda p, i: (i == 0) | (F.get("_pairs", i - 1)["s"] != p["s"])
     marked = F.transform("_pairs", lambda p, i: F.struct(p["s"].alias("s"), p["w"].alias("w"), first(p, i).alias("first")))
