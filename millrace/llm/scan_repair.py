@@ -2,7 +2,10 @@
 
 Words are decoded line by line with a noisy channel: every word has candidate readings reached
 by undoing character confusions, a reading costs its confusion probabilities, and the line's
-best sequence under the corpus n-grams is found by Viterbi. Words the corpus does not know are
+best sequence under the corpus n-grams is found by Viterbi. The probability of each confusion is
+estimated from the corpus by expectation maximisation: words that misreadings of other words
+explain better than words of their own are counted as such, and the confusions they took are set
+against the places where they could have happened. Words the corpus does not know are
 scored by a character n-gram model of all its words, so that made-up names keep their spelling
 unless a confusion clearly explains them better. Line furniture is settled first: page numbers
 by their form, running headers by form, by interrupting a sentence and by repeating within
@@ -10,9 +13,8 @@ their document, against headings, which stand once in many documents. A word cut
 is joined over page breaks; a compound known with its hyphen keeps it.
 
 Corpus counts (words, word pairs, character 4-grams, title lines) are gathered in one pass with
-partial counts per task. Keys below `min_share` of their kind or counted less than three times are
-dropped, so the model handed to the tasks has at most `kinds / min_share` entries whatever the size
-of the corpus.
+partial counts per task. Keys below `min_share` of their kind are dropped, so the model handed to
+the tasks has at most `kinds / min_share` entries whatever the size of the corpus.
 
 Defined cases: null texts give no defects and stay null; empty texts stay empty; a text of
 nothing but furniture becomes empty. Line numbers count from 0 between \\n characters.
@@ -31,7 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_SHARE = {"word": 1e-6, "pair": 2e-6, "gram": 1e-7, "title": 1e-4, "again": 1e-6, "cuts": 1e-6, "compound": 1e-6}
+#: Probability of a confusion before any is seen, which counts as so many places without evidence.
 CONFUSION = 4e-4
+PLACES = 20_000
+ROUNDS = 3
 UNKNOWN = 0.02
 NOISE = 0.01
 
@@ -64,8 +69,6 @@ def _title_key(line: str) -> str | None:
     if not body or body[-1] in ".!?,;:”\"’)" + HYPHENS:
         return None
     words = body.split()
-    if len(words) > 8:
-        return None
     letters = False
     for w in words:
         c = w[0]
@@ -84,7 +87,7 @@ def _title_key(line: str) -> str | None:
 
 def _is_page_no(line: str) -> bool:
     s = line.strip("\f ")
-    return bool(s) and len(s) <= 20 and bool(_PAGE_NO.match(s))
+    return bool(s) and bool(_PAGE_NO.match(s))
 
 
 def _furniture(lines: list[str]) -> list[str]:
@@ -96,7 +99,7 @@ def _furniture(lines: list[str]) -> list[str]:
             kinds.append("blank")
         elif _is_page_no(s):
             kinds.append("page_no")
-        elif len(s) <= 60 and _title_key(s) is not None:
+        elif _title_key(s) is not None:
             kinds.append("title")
         else:
             kinds.append("text")
@@ -163,7 +166,6 @@ class ScanModel:
         self.pair: dict[tuple[str, str], int] = counts.get("pair", {})
         self.compound: dict[str, int] = counts.get("compound", {})
         self.n = max(1, sum(self.word.values()))
-        self._clean_vocabulary()
         grams: dict[str, int] = counts.get("gram", {})
         self.orders: list[dict[str, int]] = [Counter(), Counter(), Counter(), dict(grams)]
         self.context: list[dict[str, int]] = [Counter(), Counter(), Counter(), Counter()]
@@ -178,20 +180,57 @@ class ScanModel:
             if docs >= 5 and again <= 0.05 * docs and cut <= 0.25 * docs:
                 self.headings.add(key)
         self._memo: dict[str, tuple] = {}
+        self.channel = {(bad, good): math.log(CONFUSION) for bad, goods in _UNDO.items() for good in goods}
+        self._learn()
+
+    def _learn(self) -> None:
+        """Estimate the channel, then drop the words that it explains and their pairs.
 
-    def _clean_vocabulary(self) -> None:
-        """Drop counted words that the channel explains: mixtures of letters and signs, and words
-        seen at most `NOISE` times as often as a word one confusion away from them."""
-        noise = set()
-        for w, n in self.word.items():
-            if any(c in SIGNS for c in w):
-                if not _NUMBER.match(w):
+        A counted word is a misreading when it mixes letters and signs, when it stands at most
+        `NOISE` times as often as a word one confusion away, or when the misreadings expected of
+        such words account for its count better than a word of its own does.
+        """
+        near = {}
+        for w in self.word:
+            if not any(c in SIGNS for c in w):
+                origins = [(c, edit) for c, edit in self._one_undone(w) if c in self.word]
+                if origins:
+                    near[w] = origins
+        alone = {w: math.log(self.n * UNKNOWN) + self.spelled(w) for w in near}
+        noise: set[str] = set()
+        for _ in range(ROUNDS):
+            noise, taken = set(), Counter()
+            for w, origins in near.items():
+                n = self.word[w]
+                rates = [self.word[c] * math.exp(self.channel[e]) for c, e in origins]
+                rate = sum(rates)
+                misread = n * math.log(rate) - rate - math.lgamma(n + 1)
+                if misread > alone[w] - math.log(n * (n + 1)) or any(self.word[c] * NOISE >= n for c, _ in origins):
                     noise.add(w)
-            elif any(self.word.get(c, 0) * NOISE >= n for c in self._undone(w, 1)):
-                noise.add(w)
+                    for r, (_, e) in zip(rates, origins):
+                        taken[e] += n * r / rate
+            places: Counter = Counter()
+            for w, n in self.word.items():
+                if w not in noise:
+                    for bad, good in self.channel:
+                        k = w.count(good)
+                        if k:
+                            places[bad, good] += k * n
+            self.channel = {e: math.log((taken[e] + PLACES * CONFUSION) / (places[e] + PLACES)) for e in self.channel}
+        noise.update(w for w in self.word if any(c in SIGNS for c in w) and not _NUMBER.match(w))
         self.word = {w: n for w, n in self.word.items() if w not in noise}
         self.pair = {p: n for p, n in self.pair.items() if p[0] not in noise and p[1] not in noise}
 
+    @staticmethod
+    def _one_undone(word: str) -> Iterator[tuple[str, tuple[str, str]]]:
+        """Readings one undone confusion away, each with the confusion."""
+        for i in range(len(word)):
+            for width in (1, 2):
+                bad = word[i : i + width]
+                if len(bad) == width:
+                    for good in _UNDO.get(bad, ()):
+                        yield word[:i] + good + word[i + width :], (bad, good)
+
     def spelled(self, word: str) -> float:
         """Log probability of a word's letters under the interpolated 4-gram model."""
         return sum(map(self._letter, _grams(word)))
@@ -211,21 +250,23 @@ class ScanModel:
             return math.log(n / self.n)
         return math.log(UNKNOWN) + self.spelled(word)
 
-    def _undone(self, word: str, edits: int) -> dict[str, tuple[int, int]]:
-        """Readings within `edits` undone confusions: reading -> (edits, first position)."""
-        found = {word: (0, len(word))}
-        frontier = {word: (0, len(word))}
+    def _undone(self, word: str, edits: int) -> dict[str, tuple[float, int, int]]:
+        """Readings within `edits` undone confusions: reading -> (log probability, edits, first position)."""
+        found = {word: (0.0, 0, len(word))}
+        frontier = dict(found)
         for _ in range(edits):
-            fresh: dict[str, tuple[int, int]] = {}
-            for w, (k, first) in frontier.items():
+            fresh: dict[str, tuple[float, int, int]] = {}
+            for w, (p, k, first) in frontier.items():
                 for i in range(len(w)):
                     for width in (1, 2):
-                        if i + width > len(w):
+                        bad = w[i : i + width]
+                        if len(bad) < width:
                             continue
-                        for good in _UNDO.get(w[i : i + width], ()):
+                        for good in _UNDO.get(bad, ()):
                             c = w[:i] + good + w[i + width :]
-                            if c not in found:
-                                found[c] = fresh[c] = (k + 1, min(first, i))
+                            reached = (p + self.channel[bad, good], k + 1, min(first, i))
+                            if c not in found or (c in fresh and fresh[c] < reached):
+                                found[c] = fresh[c] = reached
             frontier = fresh
         return found
 
@@ -260,22 +301,21 @@ class ScanModel:
         letters = sum(c.isalpha() for c in word)
         if not letters or (signs and _NUMBER.match(word)) or (len(word) < 2 and not signs):
             out = ((word, 0.0, 0.0, -1),)
-        elif self.word.get(word, 0) > self.n * 2e-4 and not signs:
-            out = ((word, 0.0, self.prior(word), -1),)
         else:
-            found = {word: (0, len(word))}
+            found = {word: (0.0, 0, len(word))}
             start = min((i for i, c in enumerate(word) if c in SIGNS), default=len(word))
             for base in self._signs_undone(word) if signs else [word]:
-                for c, (k, first) in self._undone(base, max(0, 2 - signs)).items():
-                    reached = (k + signs, min(first, start))
-                    found[c] = min(found.get(c, reached), reached)
+                p0 = sum(self.channel[a, b] for a, b in zip(word, base) if a in SIGNS)
+                for c, (p, k, first) in self._undone(base, max(0, 2 - signs)).items():
+                    reached = (p0 + p, k + signs, min(first, start))
+                    found[c] = max(found.get(c, reached), reached)
             scored = []
-            for c, (k, first) in found.items():
+            for c, (p, k, first) in found.items():
                 if k and any(x in SIGNS for x in c):
                     continue
                 if k > max(1, signs) and c not in self.word:
                     continue
-                scored.append((c, k * math.log(CONFUSION), self.prior(c), first if k else -1))
+                scored.append((c, p, self.prior(c), first if k else -1))
             scored.sort(key=lambda r: -(r[1] + r[2]))
             unknown = next((r for r in scored if r[0] not in self.word), None)
             out = tuple(r for r in scored if r[0] in self.word or r is unknown)
@@ -407,7 +447,7 @@ def analyse(text: str, model: ScanModel) -> tuple[list[tuple[int, str]], str]:
                 continue
             wrong = True
             a, b = places[k]
-            fixed = fixed[:a] + _recase(reading, words[k]) + fixed[b:]
+            fixed = fixed[:a] + _recase(reading, words[k], pos) + fixed[b:]
         if wrong and (i, "misread") not in defects:
             defects.append((i, "misread"))
         if kinds[i] == "heading":
@@ -435,7 +475,10 @@ def _paragraph_break(kinds: list[str], body: list[int], at: int, current: str, l
     return "blank" in gap and current[-1:] in ".!?”\"" and not line[:1].islower()
 
 
-def _recase(reading: str, original: str) -> str:
+def _recase(reading: str, original: str, changed: int) -> str:
+    """A reading in the case of the word as read; a capital I read for a small l becomes small."""
+    if changed == 0 and original[0] == "I" and reading[0] == "l" and not original.isupper():
+        return reading
     if original.isupper() and len(original) > 1:
         return reading.upper()
     if original[:1].isupper() or (original[:1] in SIGNS and original[1:2].isupper()):
@@ -474,7 +517,6 @@ def scan_model(df: DataFrame, text_col: str = "text", min_share: dict[str, float
         texts.mapInPandas(count, "kind string, key string, n bigint")
         .groupBy("kind", "key")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= 3)
     )
     totals = counts.groupBy("kind").agg(F.sum("n").alias("total"))
     share = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv])

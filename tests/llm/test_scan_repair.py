@@ -51,6 +51,24 @@ def test_vocabulary_drops_what_the_channel_explains():
     assert "bard" not in m.word and "visitor5" not in m.word and "lake" in m.word
 
 
+def test_confusion_probabilities_follow_the_corpus():
+    words = {"modern": 3000, "farmer": 3000, "summer": 3000, "the": 9000, "lake": 3000, "rnodern": 30, "farrner": 30, "surnmer": 30}
+    m = S.ScanModel({"word": words})
+    assert m.channel["rn", "m"] > -5.5 > m.channel["lc", "k"] and "rnodern" not in m.word and "lake" in m.word
+    assert m.decode(["the", "rnodern"])[1] == ("modern", 0)
+
+
+def test_a_rare_name_keeps_its_own_word_but_not_its_misreading():
+    m = S.ScanModel({"word": {"zarmoktov": 6, "zarrnoktov": 1, "bridge": 5000, "the": 60_000}})
+    assert "zarmoktov" in m.word and "zarrnoktov" not in m.word
+
+
+def test_capital_i_read_for_small_l():
+    assert S._recase("large", "Iarge", 0) == "large" and S._recase("Large", "LARGE", 2) == "LARGE" and S._recase("india", "Indja", 3) == "India"
+    text = "The careful farmer visited the Iibrary after the long winter."
+    assert S.analyse(text, model()) == ([(0, "misread")], "The careful farmer visited the library after the long winter.")
+
+
 def test_all_confusions_of_a_word():
     words = {"environmentally": 400, "responsibilities": 400, "installed": 400, "the": 3000}
     m = S.ScanModel({"word": words})
