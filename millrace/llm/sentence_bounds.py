@@ -3,7 +3,10 @@
 A full stop is ambiguous after an abbreviation, a number or an initial. It is settled in two
 steps: first by what the same document shows beyond doubt (a word followed by a stop and then
 by a small letter is an abbreviation here; a word written small, or opening a line, can open a
-sentence here), then by the same evidence counted over the whole corpus. Scripts have their
+sentence here; a word in capitals amid a sentence is a name here), and only where the document
+is silent by the same evidence counted over the whole corpus. Where both are silent, a new word
+in capitals opens a sentence after letters in capitals (`U.S.`), but not after an initial or an
+abbreviation in small letters. Scripts have their
 own terminators: ideographic and Indic stops are never ambiguous, Thai ends a sentence with a
 polite particle before a space, the ASCII stop ends nothing in CJK and Devanagari text. Quoted
 speech and brackets are matched first and never cut inside.
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 MIN_SHARE = 1e-5
 
 # Marks of the scripts.
-OPEN = {"“": "”", "„": "“”", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】", "《": "》", "〈": "〉"}
+OPEN = {"‘": "’", "'": "'", "“": "”", "„": "“”", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】", "《": "》", "〈": "〉"}
 CLOSE = set("”»」』)）]】》〉")
-QUOTES = set('"“”„«»「」『』')
+QUOTES = set('"“”„«»「」『』‘’\'')
 THAI_END = ("ครับผม", "ครับ", "ค่ะ", "คะ", "จ้ะ", "จ๊ะ", "นะ")
 SAID = (
     "said says asked asks answered replied cried called shouted whispered added wondered "
@@ -40,7 +43,7 @@ SAID = (
 ZH_GOES_ON = ("然后", "接着", "随后", "便", "就", "又", "并", "于是", "说", "问", "答", "喊", "道", "他说", "她说")
 JA_GOES_ON = ("と", "って", "という", "など", "を", "が", "は", "の", "に", "も", "で")
 
-_MARK = re.compile(r'["“”„«»「」『』()（）\[\]【】《》〈〉]|\n[^\S\n]*\n')
+_MARK = re.compile(r'["“”„«»「」『』()（）\[\]【】《》〈〉‘]|(?<=[^\w\s])[’\'](?!\w)|(?<=[^\W_sS])’(?!\w)|(?:(?<=\s)|\A)\'(?=[^\W\d_a-z])|\n[^\S\n]*\n')
 _EVENT = re.compile(r"[.!?…。！？｡।॥؟۔]+|\n\s*|(?<=[ก-๛])[^\S\n]+")
 _BEFORE = re.compile(r"\w(?:[\w.’'\-]*\w)?$")
 _WORD = re.compile(r"[^\W\d_][\w’'\-]*")
@@ -51,6 +54,7 @@ _CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]")
 _INDIC = re.compile(r"[ऀ-ॿ]")
 _THAI = re.compile(r"[฀-๿]")
 _WORDS = re.compile(r"(?<![\w.])[^\W\d_][\w’'\-]*")
+_AMID = re.compile(r"(?<=[^\W\d_])[^\S\n]([^\W\d_][\w’'\-]*)")
 _OPENING = re.compile(r"(?:\A|\n|[!?][”\"]?[^\S\n]+)(?:[^\W\d_][\w.]{0,10}: )?([^\W\d_][\w’'\-]*)")
 
 
@@ -87,13 +91,16 @@ def _key(token: str) -> str:
 
 def document_evidence(text: str) -> dict[str, Counter]:
     """Unambiguous occurrences in one document, by kind of evidence."""
-    ev = {k: Counter() for k in ("low", "start", "dot", "dl", "dd", "pair")}
+    ev = {k: Counter() for k in ("low", "start", "amid", "dot", "dl", "dd", "pair")}
     for m in _WORDS.finditer(text):
         if m.group()[0].islower():
             ev["low"][m.group()] += 1
     for m in _OPENING.finditer(text):
         if m.group(1)[0].isupper():
             ev["start"][m.group(1)] += 1
+    for m in _AMID.finditer(text):
+        if m.group(1)[0].isupper() and text[m.start() - 1].islower():
+            ev["amid"][m.group(1)] += 1
     for m in _DOT.finditer(text):
         token = _token_before(text, m.start())
         if not token or text[m.end() : m.end() + 1] in CLOSE or text.startswith('"', m.end()):
@@ -119,6 +126,7 @@ class CorpusModel:
     def __init__(self, counts: dict[tuple[str, str], int]):
         self.low = {k for (kind, k) in counts if kind == "low"}
         self.start = {k for (kind, k) in counts if kind == "start"}
+        self.amid = {k for (kind, k) in counts if kind == "amid"}
         self.abbreviation: set[str] = set()
         self.numeric: set[str] = set()
         self.title: set[str] = set()
@@ -156,7 +164,13 @@ def _spans(text: str) -> list[tuple[int, int]]:
             stack.clear()
             continue
         at = None
-        if c == '"':
+        if c in "’'":
+            at = next((j for j in range(len(stack) - 1, -1, -1) if c in OPEN.get(stack[j][0], "")), None)
+            if at is None:
+                if c == "'" and text[i + 1 : i + 2].isupper():
+                    stack.append((c, i))
+                continue
+        elif c == '"':
             at = next((j for j in range(len(stack) - 1, -1, -1) if stack[j][0] == '"'), None)
             if at is None:
                 if i + 1 < len(text) and not text[i + 1].isspace():
@@ -206,20 +220,24 @@ def split_points(text: str, model: CorpusModel) -> list[int]:
     wrapped = no_case and "\n" in text and _wrapped(text, spans)
     si = 0
 
-    def opens(word: str) -> bool:
-        """The word can open a sentence: seen so here or in the corpus, or known in small letters."""
+    def here() -> dict[str, Counter]:
         if not evidence:
             evidence.update(document_evidence(text))
+        return evidence
+
+    def opens(word: str, silent: bool = False) -> bool:
+        """The word can open a sentence: by this document, else by the corpus, else `silent`."""
+        ev = here()
         small = word[:1].lower() + word[1:]
-        if evidence["low"][small] or evidence["start"][word]:
+        if ev["low"][small] or ev["start"][word]:
+            return True
+        if small in model.low or word in model.start:
             return True
-        return small in model.low or word in model.start
+        return silent and not ev["amid"][word] and word not in model.amid
 
     def common(word: str) -> bool:
-        if not evidence:
-            evidence.update(document_evidence(text))
         small = word[:1].lower() + word[1:]
-        return bool(evidence["low"][small]) or small in model.low
+        return bool(here()["low"][small]) or small in model.low
 
     def stop_ends(i: int, after: int) -> bool:
         """A single ASCII stop at i, with closing marks up to `after`, ends its sentence."""
@@ -245,24 +263,27 @@ def split_points(text: str, model: CorpusModel) -> list[int]:
             return "." in token and opens(word)
         if not token:
             return True
-        if len(token) == 1 and token.isalpha():
-            return False
         if token[-1].isdigit():
             if kind != "cap":
                 return kind != "num" or len(token) > 2
             return opens(word)
-        if not evidence:
-            evidence.update(document_evidence(text))
+        if len(token) == 1 and token.isalpha():
+            return kind == "end" or (kind == "cap" and len(word) > 1 and common(word) and not here()["amid"][word])
+        ev = here()
+        names = {p for p in ev["pair"] if p.startswith(token + " ") and not p.endswith('"') and not common(p[len(token) + 1 :])}
+        other_case = {token, token.lower(), token.capitalize()}
         if kind == "num":
-            return not (token in model.numeric or evidence["dd"][token] > 1)
-        if token in model.title:
+            return not (ev["dd"][token] > 1 or other_case & model.numeric)
+        if len(names) > 1 and not ev["dl"][token] and "." not in token:
+            return kind != "cap" or common(word)
+        if token in model.title and not ev["dl"][token]:
             return kind != "cap" or common(word)
-        if token in model.abbreviation or evidence["dl"][token] or "." in token:
+        if token in model.abbreviation or ev["dl"][token] or "." in token:
             if kind in ("open", "end"):
                 return True
             if kind == "other":
-                return not (token in model.abbreviation or evidence["dl"][token])
-            return opens(word) or bool(_LABEL.match(text, at))
+                return not (token in model.abbreviation or ev["dl"][token])
+            return opens(word, silent=token.isupper()) or bool(_LABEL.match(text, at))
         return True
 
     def quote_ends(a: int, b: int) -> bool:
@@ -408,10 +429,11 @@ def find_sentences(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
     )
     id_type = rows.schema["_id"].dataType.simpleString()
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            points = [split_points(t, model) for t in batch["_text"]]
+            points = [split_points(t, shared.value) for t in batch["_text"]]
             sizes = [len(p) for p in points]
             yield pd.DataFrame(
                 {"_id": batch["_id"].repeat(sizes), "sent_start": pd.Series([x for p in points for x in p], dtype="int32").values}
@@ -432,13 +454,13 @@ def add_sentences(
 
     An existing `out_col` is replaced. White space inside a sentence is kept, around it is not.
     """
-    model = model or corpus_model(df, text_col)
+    shared = df.sparkSession.sparkContext.broadcast(model or corpus_model(df, text_col))
 
     @F.pandas_udf("array<struct<id int, text string>>")
     def split(texts: pd.Series) -> pd.Series:
         out = []
         for t in texts:
-            points = split_points(t, model) if isinstance(t, str) else []
+            points = split_points(t, shared.value) if isinstance(t, str) else []
             ends = points[1:] + [len(t)] if points else []
             out.append([{"id": k, "text": t[a:b].strip()} for k, (a, b) in enumerate(zip(points, ends))])
         return pd.Series(out)

@@ -42,6 +42,27 @@ def test_document_evidence_comes_before_the_corpus():
     assert S.split_points("He met sgt. blue. Then sgt. Brown left.", bare) == [0, 18]
 
 
+def test_document_evidence_decides_against_the_corpus():
+    corpus = {("low", w): 50 for w in ("the", "then", "it", "we")} | {("dot", "Gen"): 40, ("pair", "Gen Tovan"): 40}
+    m = S.CorpusModel(corpus)
+    assert "Gen" in m.title
+    assert S.split_points("He is gen. staff, Gen. and more. The Gen. Tovan left.", m) == [0, 33]
+    assert S.split_points("They met Brown in the U.S. Brown stayed.", m) == [0]
+    assert S.split_points("They met in the U.S. Brown stayed.", m) == [0, 21]
+
+
+def test_letters_and_dotted_tokens():
+    m = S.CorpusModel({("low", w): 50 for w in ("the", "then", "it", "he")} | {("dot", "Fig"): 30, ("dd", "Fig"): 30})
+    for parts in (
+        ["We chose plan B. ", "Then we left the house."], ["Take vitamin C. ", "It helps."], ["J. V. Temgor came. ", "Then he left."],
+        ["He bought it in the U.S. ", "Later he sold it."], ["See fig. 3. ", "It helps."], ["See Fig. 3 here."],
+        ["‘Wait. It is cold,’ he said. ", "It’s over."], ["'Wait. It is cold,' he said. ", "The dogs' bowl is here. ", "It helps."],
+        ["The ‘expert’ left. ", "It was late. ", "‘Stop,’ he said."],
+    ):
+        text = "".join(parts)
+        assert S.split_points(text, m) == [sum(map(len, parts[:k])) for k in range(len(parts))], (text, S.split_points(text, m))
+
+
 def test_edges():
     for text in ("", "  \n ", "\n\n"):
         assert S.split_points(text, MODEL) == []
