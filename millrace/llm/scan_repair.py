@@ -38,6 +38,8 @@ CONFUSION = 4e-4
 PLACES = 20_000
 ROUNDS = 3
 UNKNOWN = 0.02
+#: Least log probability of the letters of a word, when its count is weighed against misreadings.
+RAREST = -20.0
 NOISE = 0.01
 
 # What a reader makes of what was printed, as misread form: printed forms.
@@ -190,22 +192,20 @@ class ScanModel:
         `NOISE` times as often as a word one confusion away, or when the misreadings expected of
         such words account for its count better than a word of its own does.
         """
-        near = {}
-        for w in self.word:
-            if not any(c in SIGNS for c in w):
-                origins = [(c, edit) for c, edit in self._one_undone(w) if c in self.word]
-                if origins:
-                    near[w] = origins
-        alone = {w: math.log(self.n * UNKNOWN) + self.spelled(w) for w in near}
+        near = {w: o for w in self.word if (o := [(c, edit) for c, edit in self._one_undone(w) if c in self.word])}
+        mixed = {w for w in self.word if any(c in SIGNS for c in w) and not _NUMBER.match(w)}
+        alone = {w: math.log(self.n * UNKNOWN) + max(self.spelled(w), RAREST) for w in near}
         noise: set[str] = set()
         for _ in range(ROUNDS):
-            noise, taken = set(), Counter()
+            noise, taken = set(mixed), Counter()
             for w, origins in near.items():
+                if _NUMBER.match(w):
+                    continue
                 n = self.word[w]
                 rates = [self.word[c] * math.exp(self.channel[e]) for c, e in origins]
                 rate = sum(rates)
                 misread = n * math.log(rate) - rate - math.lgamma(n + 1)
-                if misread > alone[w] - math.log(n * (n + 1)) or any(self.word[c] * NOISE >= n for c, _ in origins):
+                if w in mixed or misread > alone[w] - math.log(n * (n + 1)) or any(self.word[c] * NOISE >= n for c, _ in origins):
                     noise.add(w)
                     for r, (_, e) in zip(rates, origins):
                         taken[e] += n * r / rate
@@ -217,7 +217,6 @@ class ScanModel:
                         if k:
                             places[bad, good] += k * n
             self.channel = {e: math.log((taken[e] + PLACES * CONFUSION) / (places[e] + PLACES)) for e in self.channel}
-        noise.update(w for w in self.word if any(c in SIGNS for c in w) and not _NUMBER.match(w))
         self.word = {w: n for w, n in self.word.items() if w not in noise}
         self.pair = {p: n for p, n in self.pair.items() if p[0] not in noise and p[1] not in noise}
 
@@ -231,24 +230,27 @@ class ScanModel:
                     for good in _UNDO.get(bad, ()):
                         yield word[:i] + good + word[i + width :], (bad, good)
 
-    def spelled(self, word: str) -> float:
-        """Log probability of a word's letters under the interpolated 4-gram model."""
-        return sum(map(self._letter, _grams(word)))
+    def spelled(self, word: str, read: bool = False) -> float:
+        """Log probability of a word's letters under the interpolated 4-gram model; of a word as
+        `read`, by what the model counted elsewhere."""
+        less = int(read and word.isalpha())
+        return sum(self._letter(g, less) for g in _grams(word))
 
-    def _letter(self, gram: str) -> float:
+    def _letter(self, gram: str, less: int = 0) -> float:
         """Log probability of the last letter of a 4-gram after the others."""
         p = 1e-4
         for k in range(4):
-            seen = self.context[k].get(gram[3 - k : 3], 0)
-            if seen:
-                p = 0.25 * p + 0.75 * self.orders[k].get(gram[3 - k :], 0) / seen
+            seen = self.context[k].get(gram[3 - k : 3], 0) - less
+            if seen > 0:
+                p = 0.25 * p + 0.75 * max(0, self.orders[k].get(gram[3 - k :], 0) - less) / seen
         return math.log(p)
 
-    def prior(self, word: str) -> float:
-        n = self.word.get(word, 0)
-        if n:
+    def prior(self, word: str, read: bool = False) -> float:
+        """Log probability of a word; of a word as `read`, by its other occurrences."""
+        n = self.word.get(word, 0) - read
+        if n > 0:
             return math.log(n / self.n)
-        return math.log(UNKNOWN) + self.spelled(word)
+        return math.log(UNKNOWN) + self.spelled(word, read)
 
     def _undone(self, word: str, edits: int) -> dict[str, tuple[float, int, int]]:
         """Readings within `edits` undone confusions: reading -> (log probability, edits, first position)."""
@@ -315,7 +317,7 @@ class ScanModel:
                     continue
                 if k > max(1, signs) and c not in self.word:
                     continue
-                scored.append((c, p, self.prior(c), first if k else -1))
+                scored.append((c, p, self.prior(c, read=not k), first if k else -1))
             scored.sort(key=lambda r: -(r[1] + r[2]))
             unknown = next((r for r in scored if r[0] not in self.word), None)
             out = tuple(r for r in scored if r[0] in self.word or r is unknown)

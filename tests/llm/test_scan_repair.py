@@ -54,7 +54,7 @@ def test_vocabulary_drops_what_the_channel_explains():
 def test_confusion_probabilities_follow_the_corpus():
     words = {"modern": 3000, "farmer": 3000, "summer": 3000, "the": 9000, "lake": 3000, "rnodern": 30, "farrner": 30, "surnmer": 30}
     m = S.ScanModel({"word": words})
-    assert m.channel["rn", "m"] > -5.5 > m.channel["lc", "k"] and "rnodern" not in m.word and "lake" in m.word
+    assert m.channel["rn", "m"] > -6 > m.channel["lc", "k"] and "rnodern" not in m.word and "lake" in m.word
     assert m.decode(["the", "rnodern"])[1] == ("modern", 0)
 
 
