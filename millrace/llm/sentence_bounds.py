@@ -47,6 +47,7 @@ _MARK = re.compile(r'["“”„«»「」『』()（）\[\]【】《》〈〉
 _EVENT = re.compile(r"[.!?…。！？｡।॥؟۔]+|\n\s*|(?<=[ก-๛])[^\S\n]+")
 _BEFORE = re.compile(r"\w(?:[\w.’'\-]*\w)?$")
 _WORD = re.compile(r"[^\W\d_][\w’'\-]*")
+_INITIAL = re.compile(r"(?<!\w)[^\W\d_]\.\s?$")
 _LABEL = re.compile(r"(?:[^\W\d_][\w.]{0,14}(?: [A-Z][\w.]{0,14})?)[:：]\s")
 _ATTRIBUTION = re.compile(r"(?:[\w’'\-.]+ ){1,4}?(?:" + "|".join(SAID) + r")\b")
 _DOT = re.compile(r"(?<![.\s])\.(?!\.)")
@@ -268,9 +269,13 @@ def split_points(text: str, model: CorpusModel) -> list[int]:
                 return kind != "num" or len(token) > 2
             return opens(word)
         if len(token) == 1 and token.isalpha():
-            return kind == "end" or (kind == "cap" and len(word) > 1 and common(word) and not here()["amid"][word])
+            if kind != "cap":
+                return kind == "end"
+            return len(word) > 1 and common(word) and not here()["amid"][word] and not _INITIAL.search(text, max(0, i - 8), i - 1)
         ev = here()
-        names = {p for p in ev["pair"] if p.startswith(token + " ") and not p.endswith('"') and not common(p[len(token) + 1 :])}
+        names = set()
+        if token[0].isupper() and len(token) <= 5:
+            names = {p for p in ev["pair"] if p.startswith(token + " ") and not p.endswith('"') and not opens(p[len(token) + 1 :])}
         other_case = {token, token.lower(), token.capitalize()}
         if kind == "num":
             return not (ev["dd"][token] > 1 or other_case & model.numeric)
