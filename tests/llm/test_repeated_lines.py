@@ -77,14 +77,14 @@ WORDS = "one two three four five six seven eight nine ten eleven twelve".split()
 
 
 def test_lines_with_one_changing_word_share_a_template(spark):
-    rows = [(i, "s", f"Body {w * 3} alone\nPage {w} of the Herald archive\n{w} readers like this page today") for i, w in enumerate(WORDS)]
+    rows = [(i, "s", f"Page {w} of the Herald archive\n{w} readers like this page today") for i, w in enumerate(WORDS)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert [(r["template"], r["docs"]) for r in covering_templates(df).collect()] == [("body * alone", 12)]
+    assert covering_templates(df).count() == 0
     back = {r["template"]: (r["docs"], r["contents"]) for r in covering_templates(df, backward=True).collect()}
     assert back == {"page * of the herald archive": (12, 12), "* readers like this page today": (12, 12)}
-    turned = spark.createDataFrame([(i, "s", f"Herald archive page {w} of thirty\nHerald archive {w} {w}") for i, w in enumerate(WORDS)], SCHEMA)
+    turned = spark.createDataFrame([(i, "s", f"Herald archive page {w} of thirty\nHerald archive no {w} {w}") for i, w in enumerate(WORDS)], SCHEMA)
     front = {r["template"]: (r["docs"], r["contents"]) for r in covering_templates(turned).collect()}
-    assert front == {"herald archive page * of thirty": (12, 12), "herald archive *": (12, 12)}
+    assert front == {"herald archive page * of thirty": (12, 12), "herald archive no *": (12, 12)}
     assert find_repeated_lines(df).count() == 0
 
 
