@@ -144,19 +144,16 @@ def _leaves(df: DataFrame, columns: tuple[str, str, str], min_docs: int, min_sha
         .groupBy(*leaf, "_need", "_pages", "_s")
         .agg(F.count_if("_first").alias("_docs"), F.min("_words").alias("_words"))
     )
-    slots = contents.select(*leaf, "_need", "_s", "_docs", F.posexplode(_slots(F.split("_words", " "))).alias("_at", "_word"))
+    keyed = contents.withColumn("_c", _content(F.col("_s"))).withColumn("_level", _slots(F.split("_words", " ")))
+    hashed = F.transform("_level", lambda w: F.when(w != "", F.xxhash64(w)))
+    slots = keyed.select(*leaf, "_need", "_c", "_docs", F.posexplode(hashed).alias("_at", "_word")).where(F.col("_word").isNotNull())
     frequent = (
         slots.groupBy(*leaf, "_need", "_at", "_word").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= F.col("_need"))
-    ).select(*leaf, "_at", "_word", F.lit(True).alias("_kept"))
-    branch = F.when(F.col("_kept"), F.col("_word")).otherwise(WILD)
-    paths = (
-        slots.join(frequent, [*leaf, "_at", "_word"], "left")
-        .groupBy(*leaf, "_s")
-        .agg(F.array_sort(F.collect_list(F.struct("_at", branch.alias("_branch")))).alias("_path"))
-        .select(*leaf, "_s", F.transform("_path", lambda p: p["_branch"]).alias("_path"))
-        .select(*leaf, "_s", _template(F.col("_path")).alias("_template"))
     )
-    return rows, nodes, contents.join(paths, [*leaf, "_s"])
+    kept = slots.join(frequent.select(*leaf, "_at", "_word"), [*leaf, "_at", "_word"]).groupBy(*leaf, "_c").agg(F.collect_set("_at").alias("_kept"))
+    path = F.transform("_level", lambda w, i: F.when((w == "") | F.coalesce(F.array_contains("_kept", i), F.lit(False)), w).otherwise(WILD))
+    leaves = keyed.join(kept, [*leaf, "_c"], "left").withColumn("_template", _template(path))
+    return rows, nodes, leaves.select(*leaf, "_need", "_pages", "_s", "_c", "_docs", "_template")
 
 
 def covering_templates(
@@ -189,7 +186,7 @@ def _repeated(df: DataFrame, columns: tuple[str, str, str], min_docs: int, min_s
     leaf = ["_src", "_node", "_template"]
     covering = leaves.groupBy(*leaf, "_need").agg(F.sum("_docs").alias("_lines")).where(F.col("_lines") >= F.col("_need"))
     verified = leaves.join(covering.select(*leaf), leaf).where(F.col("_docs") >= F.col("_need"))
-    return _sized(verified.groupBy("_src").agg(F.collect_list(_content(F.col("_s"))).alias("_found")))
+    return _sized(verified.groupBy("_src").agg(F.collect_list("_c").alias("_found")))
 
 
 def find_repeated_lines(
