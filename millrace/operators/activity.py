@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.time import micros
+from millrace.operators.ranking import global_rank
 
 
 def latest_by_key(df: DataFrame, key: list[str], order: list[str], value: list[str]) -> DataFrame:
@@ -48,16 +49,48 @@ def day_streaks(df: DataFrame, group: list[str], day: Column) -> DataFrame:
     ).drop("_start")
 
 
-def pool_size(df: DataFrame, group: list[str], rank: str, marked: str, size: int, low: int) -> DataFrame:
-    """(group, pool): the smallest pool of the series size, +(size-low), ... with more than `low`
-    unmarked ranks in it, at most the list's size; closed form over running counts."""
-    w = W.partitionBy(*group).orderBy(rank).rowsBetween(W.unboundedPreceding, 0)
-    run = df.withColumn("_left", F.sum(F.when(F.col(marked), 0).otherwise(1)).over(w))
+def pool_size(marks: DataFrame, group: list[str], rank: str, listed: DataFrame, size: int, low: int) -> DataFrame:
+    """(group, pool, listed): the smallest pool of the series size, +(size-low), ... with more than
+    `low` unmarked ranks in it, at most the list's size.
+
+    Only the marked ranks are looked at (a null rank marks nothing): with k of them at or under a
+    pool, it holds pool - k unmarked ones. The k-th marked rank r gives all pools from there to the
+    next one; the first of the series among these that is above k + low is a candidate. `listed` is a
+    one-row frame with the list's size.
+    """
+    w = W.partitionBy(*group).orderBy(rank)
     step = size - low
-    candidate = (F.col(rank) >= size) & (F.pmod(F.col(rank) - size, F.lit(step)) == 0) & (F.col("_left") > low)
-    return run.groupBy(*group).agg(
-        F.coalesce(F.min(F.when(candidate, F.col(rank))), F.max(rank)).alias("pool"), F.max(rank).alias("listed")
-    )
+    zero = marks.select(*group).distinct().withColumn(rank, F.lit(0))
+    ranks = zero.unionByName(marks.where(F.col(rank).isNotNull()).select(*group, F.col(rank).cast("int").alias(rank)).distinct())
+    runs = ranks.select(*group, rank, (F.row_number().over(w) - 1).alias("_k"), F.lead(rank).over(w).alias("_next"))
+    least = F.greatest(F.col(rank), F.col("_k") + low + 1, F.lit(size))
+    series = (F.lit(size) + F.ceil((least - size) / step) * step).cast("int")
+    first = F.when((series < F.col("_next")) | F.col("_next").isNull(), series)
+    sized = runs.groupBy(*group).agg(F.min(first).alias("_p")).join(F.broadcast(listed.toDF("listed")))
+    return sized.select(*group, F.least(F.coalesce("_p", "listed"), F.col("listed")).alias("pool"), "listed")
+
+
+def percentiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """Interpolated percentiles by rank: only the rows next to a wanted place are gathered."""
+    rows = df.where(F.col(value).isNotNull()).select(group, value)
+    ranked = global_rank(rows, [group], [value], "_rank")
+    sizes = ranked.groupBy(group).agg(F.max("_rank").alias("_n"))
+    at = {name: F.lit(share) * (F.col("_n") - 1) for name, share in shares.items()}
+    near = ranked.join(F.broadcast(sizes), group).withColumn("_i", F.col("_rank") - 1)
+    wanted = F.lit(False)
+    for place in at.values():
+        wanted = wanted | F.col("_i").isin(F.floor(place), F.ceil(place))
+    near = near.where(wanted)
+    low = {name: F.max(F.when(F.col("_i") == F.floor(p), F.col(value))) for name, p in at.items()}
+    high = {name: F.max(F.when(F.col("_i") == F.ceil(p), F.col(value))) for name, p in at.items()}
+    part = {name: F.max(p - F.floor(p)) for name, p in at.items()}
+    return near.groupBy(group).agg(*[(low[n] + part[n] * (high[n] - low[n])).alias(n) for n in shares])
+
+
+def union_sets(df: DataFrame, group: list[str], value: str, sides: str) -> DataFrame:
+    """(group, merged): values of both sides of a key, each once, in order."""
+    per = df.groupBy(*group, sides).agg(F.collect_set(value).alias("_s"))
+    return per.groupBy(*group).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_s")))).alias("merged"))
 
 
 def minute_totals(df: DataFrame, group: list[str], sums: list[str], maxima: list[str], minute: str) -> DataFrame:

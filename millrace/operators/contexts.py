@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.text import GAPS, WS, phrase_pattern, sentence_pieces
+from millrace.functions.text import WS, inflections, phrase_pattern, phrase_words, sentence_pieces
 from millrace.operators.ranking import global_rank
+from millrace.plans.checkpoints import cut
 
 # What marks the exam papers' own instructions.
 DIRECTIONS = rf"(?i)^{WS}*Direct[il1]ons?\b"
 STRUCTURE = rf"(?i)^{WS}*(?:Part\b|Section\b|Passage\b|Questions?{WS}+\p{{Nd}}|\p{{Nd}}+{WS}*\.|[A-D]\))"
+STEM_WORDINGS = [
+    r"^(?:part \S+ (?:writing|listening|reading|translation)|section [abc]\b|passage (?:one|two)\b",
+    r"|questions? [0-9]+ (?:and|to) \S+ (?:are|is) based|\( ?[0-9]+ ?minutes ?\))",
+    r"|answer sheet|single line through|corresponding letter|choices? marked|spoken only once",
+    r"|word bank|choice in the bank|ten (?:blanks|statements)|statement given below",
+    r"|you (?:will|are going to) (?:hear|read)\b|you (?:should|must) (?:write|choose|decide)",
+    r"|you are (?:allowed|required|now to write)|you will have [0-9]+ minutes",
+    r"|no more than [0-9]+ words|write at least|translate a passage",
+    r"|^each (?:passage|statement|paragraph|choice)\b|identify the paragraph|you may (?:not )?(?:choose|use)",
+    r"|read the passage through|for each of them there are",
+]
+STEM = "(?i)" + "".join(STEM_WORDINGS)
 LINE_ENDS = rf"[.!?][\"”’)]*{WS}*$"
 HEADWORD_TOKENS = r"(?<![A-Za-z'’-])([A-Za-z-]+)"
 
@@ -32,23 +49,31 @@ def boilerplate(multiplicity: DataFrame, least: int = 3) -> DataFrame:
     return multiplicity.where(F.col("sittings") >= least)
 
 
-def directions_lines(text: Column) -> Column:
-    """Lines inside a Directions block, as an array.
+def directions_lines(df: DataFrame, text: str, key: list[str]) -> DataFrame:
+    """(key, pos, line): the lines of Directions blocks, `pos` counting them within a text.
 
-    The block opens at a Directions line, closes at a blank or structural line and after a line
-    that ends a sentence; the state is folded over the lines of one text.
+    A block opens at a Directions line, closes at a blank or structural line and after a line
+    that ends a sentence: a line is inside where the last opening stands after the last break.
     """
-    start = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, line: Column) -> Column:
-        closes = (F.trim(line) == "") | line.rlike(STRUCTURE)
-        inside = F.when(line.rlike(DIRECTIONS), True).when(closes, False).otherwise(acc["inside"])
-        return F.struct(
-            (inside & ~line.rlike(LINE_ENDS)).alias("inside"),
-            F.when(inside, F.concat(acc["out"], F.array(line))).otherwise(acc["out"]).alias("out"),
-        )
-
-    return F.aggregate(F.split(text, r"\r\n|\n|\r", -1), start, step, lambda acc: acc["out"])
+    lines = df.select(*key, F.posexplode(F.split(text, r"\r\n|\n|\r", -1)).alias("_i", "line"))
+    opens = F.col("line").rlike(DIRECTIONS)
+    closes = ~opens & ((F.trim("line") == "") | F.col("line").rlike(STRUCTURE))
+    upto = W.partitionBy(*key).orderBy("_i").rowsBetween(W.unboundedPreceding, 0)
+    ended = F.lag(F.col("line").rlike(LINE_ENDS)).over(W.partitionBy(*key).orderBy("_i"))
+    marked = lines.withColumn("_open", F.when(opens, F.col("_i"))).withColumn("_break", F.when(closes, F.col("_i") + 1).when(ended, F.col("_i")))
+    inside = F.max("_open").over(upto) >= F.coalesce(F.max("_break").over(upto), F.lit(0))
+    kept = marked.withColumn("_in", inside).where("_in")
+    pos = F.row_number().over(W.partitionBy(*key).orderBy("_i")) - 1
+    return kept.select(*key, pos.alias("pos"), "line")
+
+
+def instruction_sentences(sentences: DataFrame, sitting: Column, texts: DataFrame, text: str, key: list[str]) -> DataFrame:
+    """(sentence): the papers' own instructions: sentences by their wording, sentences of many
+    sittings, and all that stands in the Directions blocks of `texts`."""
+    repeated = boilerplate(sentence_multiplicity(sentences, sitting)).select("sentence")
+    worded = sentences.where(F.col("sentence").rlike(STEM)).select("sentence")
+    blocks = directions_lines(texts, text, key).select(F.explode(sentence_pieces(F.col("line"))).alias("sentence"))
+    return repeated.unionByName(worded).unionByName(blocks).distinct()
 
 
 def headword_occurrences(sentences: DataFrame, headwords: DataFrame) -> DataFrame:
@@ -98,26 +123,81 @@ def stripe(df: DataFrame, order: list[Column | str], per_task: int) -> DataFrame
 def next_fit(df: DataFrame, group: list[str], order: str, size: str, budget: int) -> DataFrame:
     """`bin` of each row when a group's rows fill bins in order and never look back.
 
-    An item above the budget gets a bin of its own. One group is one list, so groups are meant
-    to be work lists, not whole tables.
+    An item above the budget gets a bin of its own. What a range of rows does to the open bin is a
+    table over its possible fillings, 0 to `budget` and one for more; the tables of a group's ranges
+    are followed one after the other, and then every range is packed from the filling it begins
+    with. So no group stands in one task. Sizes are whole numbers of at least 0.
     """
-    items = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(order, size))).alias("_items"))
-    start = F.struct(
-        F.lit(0).alias("bin"), F.lit(0).cast("bigint").alias("used"), F.array().cast("array<int>").alias("bins")
+    names = [f"_g{i}" for i in range(len(group))]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col(order).alias("_o"), F.col(size).cast("bigint").alias("_s"))
+    ranged = rows.repartitionByRange(parts, *names, "_o").sortWithinPartitions(*names, "_o")
+    ranged = cut(ranged.withColumn("_range", F.spark_partition_id()).withColumn("_k", F.hash(*names) if names else F.lit(0)))
+    types = {f.name: f.dataType.simpleString() for f in ranged.schema.fields}
+    head = ", ".join(f"{n} {types[n]}" for n in names)
+    head += ", " if head else ""
+    over = budget + 1
+
+    def step(used: np.ndarray, bins: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        fresh = (used > 0) & (used + n > budget)
+        return np.minimum(np.where(fresh, n, used + n), over), bins + fresh
+
+    def runs(batch: pd.DataFrame) -> Iterator[tuple[tuple, pd.DataFrame]]:
+        for key, part in batch.groupby(names, sort=False, dropna=False) if names else [((), batch)]:
+            yield tuple(None if pd.isna(k) else k for k in key), part
+
+    def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: list[tuple] = []
+        now: tuple | None = None
+        used = bins = None
+        at = 0
+        for batch in batches:
+            for key, part in runs(batch):
+                if key != now:
+                    if now is not None:
+                        done.append((*now, at, used.tolist(), bins.tolist()))
+                    now, used, bins = key, np.arange(over + 1), np.zeros(over + 1, dtype=np.int64)
+                at = int(part["_range"].iloc[0])
+                for n in part["_s"]:
+                    used, bins = step(used, bins, int(n))
+        if now is not None:
+            done.append((*now, at, used.tolist(), bins.tolist()))
+        yield pd.DataFrame(done, columns=[*names, "_range", "_used", "_bins"])
+
+    effect = ranged.mapInPandas(tables, f"{head}_range int, _used array<bigint>, _bins array<bigint>")
+    listed = effect.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("_range", "_used", "_bins"))).alias("_r"))
+    zero = F.struct(F.lit(0).cast("bigint").alias("u"), F.lit(0).cast("bigint").alias("b"))
+    follow = lambda acc, r: F.struct(
+        F.get(r["_used"], acc["u"].cast("int")).alias("u"), (acc["b"] + F.get(r["_bins"], acc["u"].cast("int"))).alias("b")
     )
-
-    def step(acc: Column, item: Column) -> Column:
-        fresh = (acc["used"] > 0) & (acc["used"] + item[size] > budget)
-        number = acc["bin"] + F.when(fresh, 1).otherwise(0)
-        return F.struct(
-            number.alias("bin"),
-            (F.when(fresh, F.lit(0)).otherwise(acc["used"]) + item[size]).cast("bigint").alias("used"),
-            F.concat(acc["bins"], F.array(number)).alias("bins"),
-        )
-
-    bins = F.aggregate("_items", start, step, lambda acc: acc["bins"])
-    zipped = items.select(*group, F.explode(F.arrays_zip("_items", bins.alias("_bins"))).alias("_z"))
-    return zipped.select(*group, f"_z._items.{order}", f"_z._items.{size}", F.col("_z._bins").alias("bin"))
+    begins = F.transform("_r", lambda r, i: F.struct(r["_range"].alias("range"), F.aggregate(F.slice("_r", 1, i), zero, follow).alias("s")))
+    starts = listed.select(*[F.col(n).alias(f"_of{n}") for n in names], F.explode(begins).alias("_b"))
+    on = F.col("_range") == F.col("_b.range")
+    for n in names:
+        on = on & F.col(n).eqNullSafe(F.col(f"_of{n}"))
+    entered = cut(ranged.join(F.broadcast(starts) if not names else starts, on).select(*ranged.columns, F.col("_b.s.u").alias("_u"), F.col("_b.s.b").alias("_b0")))
+    entered = entered.repartition(parts, "_range", *names).sortWithinPartitions("_range", *names, "_o")
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now: tuple | None = None
+        used = number = 0
+        for batch in batches:
+            out = []
+            for key, part in runs(batch):
+                key = (*key, int(part["_range"].iloc[0]))
+                if key != now:
+                    now, used, number = key, int(part["_u"].iloc[0]), int(part["_b0"].iloc[0])
+                for n in part["_s"]:
+                    fresh = used > 0 and used + n > budget
+                    number += fresh
+                    used = min(int(n) if fresh else used + int(n), over)
+                    out.append(number)
+            yield batch[[*names, "_o", "_s"]].assign(bin=out)
+
+    schema = f"{head}_o {types['_o']}, _s bigint, bin int"
+    packed = entered.mapInPandas(fill, schema)
+    size_type = df.schema[size].dataType
+    return packed.select(*[F.col(n).alias(g) for n, g in zip(names, group)], F.col("_o").alias(order), F.col("_s").cast(size_type).alias(size), "bin")
 
 
 def peek(df: DataFrame, body: str, needle: str, width: int = 700) -> DataFrame:
@@ -131,23 +211,33 @@ def peek(df: DataFrame, body: str, needle: str, width: int = 700) -> DataFrame:
 
 
 def phrase_hits(sentences: DataFrame, phrases: DataFrame, text: str = "sentence", phrase: str = "phrase") -> DataFrame:
-    """Sentences that hold a phrase, gaps and possessives allowed, without a nested loop.
+    """Sentences that hold a phrase, inflections, gaps and possessives allowed, without a nested loop.
 
-    A phrase meets only the sentences that hold its first real word (an equi-join on tokens);
-    its pattern is then tried on those. Phrases under two real words match nothing.
+    A phrase meets only the sentences that hold a form of its first real word (an equi-join on
+    tokens); its pattern is then tried on those. `at` and `upto` are the places of the match, from
+    0. Phrases under two real words match nothing.
     """
+    keyed = phrases.select(phrase).distinct().select(phrase, phrase_pattern(F.col(phrase)).alias("_rx"), F.get(phrase_words(F.col(phrase)), 0).alias("_w"))
+    keyed = keyed.where(F.col("_rx").isNotNull()).select(phrase, "_rx", F.explode(inflections(F.col("_w"))).alias("_first"))
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([^\s.,;:!?\"“”()（）]+)"), F.lit(1)))
+    met = sentences.withColumn("_first", F.explode(tokens)).join(keyed, "_first").drop("_first").distinct()
+    found = met.where(F.rlike(F.col(text), F.col("_rx")))
+    hit = F.regexp_substr(F.col(text), F.col("_rx"))
+    at = F.instr(F.col(text), hit) - 1
+    return found.withColumn("at", at).withColumn("upto", at + F.length(hit)).drop("_rx")
 
-    @F.pandas_udf("string")
-    def pattern(values: pd.Series) -> pd.Series:
-        return values.map(lambda p: phrase_pattern(p) if isinstance(p, str) else None)
 
-    fillers = [*GAPS, "one's", "sb's"]
-    words = F.filter(F.split(F.lower(F.regexp_replace(phrase, r"\.{2,}|…", " ... ")), WS + "+"), lambda w: (w != "") & ~w.isin(fillers))
-    keyed = phrases.select(phrase).distinct().select(phrase, pattern(F.col(phrase)).alias("_rx"), F.rtrim(F.get(words, 0), F.lit(",;")).alias("_first"))
-    keyed = keyed.where(F.col("_rx").isNotNull())
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([^\s.,;:!?\"“”()（）]+)"), F.lit(1)))
-    hits = sentences.withColumn("_first", F.explode(tokens)).join(keyed, "_first")
-    return hits.where(F.rlike(F.col(text), F.col("_rx"))).drop("_first", "_rx")
+def over_headword(hits: DataFrame, word: str, text: str = "sentence") -> DataFrame:
+    """Phrase hits that lie over an occurrence of the headword."""
+    place = F.regexp_instr(F.lower(F.col(text)), F.concat(F.lit(r"(?<![A-Za-z'’-])\Q"), F.lower(word), F.lit(r"\E(?![A-Za-z-])"))) - 1
+    placed = hits.withColumn("_at", place).where(F.col("_at") >= 0)
+    return placed.where((F.col("at") < F.col("_at") + F.length(word)) & (F.col("_at") < F.col("upto"))).drop("_at")
+
+
+def name_hint(text: Column, word: str) -> Column:
+    """The word stands in capitals amid a sentence: it may be part of a name."""
+    rest = word[1:]
+    return text.rlike(rf"[^.!?:\"“‘(—–\-\])\s]\s+{word[:1].upper()}(?i:{rest})(?![A-Za-z-])")
 
 
 def half_split(df: DataFrame, key: str, seed: int = 1) -> DataFrame:

@@ -33,10 +33,22 @@ def _weight(tokens: DataFrame) -> Column:
     return F.col("n") if "n" in tokens.columns else F.lit(1)
 
 
-def term_frequency(tokens: DataFrame) -> DataFrame:
-    """(rank, word, count): most frequent first, ties by word; of rows or of counts `n`."""
+def term_frequency(tokens: DataFrame, running: bool = False) -> DataFrame:
+    """(rank, word, count): most frequent first, ties by word; of rows or of counts `n`.
+
+    With `running` also the running count, from the same ranking.
+    """
+    counts = tokens.groupBy("word").agg(F.sum(_weight(tokens)).cast("bigint").alias("count"))
+    ranked = global_rank(counts, [], [F.desc("count"), "word"], "rank", {"running": "count"} if running else None)
+    return ranked.select("rank", "word", "count", *(["running"] if running else []))
+
+
+def top_terms(tokens: DataFrame, n: int) -> DataFrame:
+    """The first n of `term_frequency`: each task keeps n words, the n best of them are ranked."""
     counts = tokens.groupBy("word").agg(F.sum(_weight(tokens)).cast("bigint").alias("count"))
-    return global_rank(counts, [], [F.desc("count"), "word"]).select("rank", "word", "count")
+    order = [F.desc("count"), F.asc("word")]
+    first = counts.orderBy(*order).limit(n)
+    return first.select(F.row_number().over(W.orderBy(*order)).alias("rank"), "word", "count")
 
 
 def document_frequency(tokens: DataFrame, unit: str) -> DataFrame:
@@ -63,7 +75,8 @@ def full_units(df: DataFrame, unit: str, text: str, least_chars: int = 3000) ->
 def cumulative_cutoff(freq: DataFrame, share: float = 0.8) -> DataFrame:
     """Smallest rank at which the running count reaches `share` of all, else the list size."""
     total = freq.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("size"))
-    running = global_rank(freq, [], ["rank"], "_place", {"running": "count"}).join(F.broadcast(total))
+    listed = freq if "running" in freq.columns else global_rank(freq, [], ["rank"], "_place", {"running": "count"})
+    running = listed.join(F.broadcast(total))
     reached = F.min(F.when(F.col("running") >= F.lit(share) * F.col("total"), F.col("rank")))
     return running.agg(
         F.coalesce(reached, F.max("size").cast("int")).alias("cutoff"),

@@ -29,6 +29,23 @@ def last_wins(sources: list[DataFrame], key: str) -> DataFrame:
     return out.withColumn("source_no", F.lit(len(sources) - 1) - F.col("source_no"))
 
 
+def first_of(rows: DataFrame, key: list[str], order: str, value: list[str], latest: bool = False) -> DataFrame:
+    """Sources told apart by a column: per key the row of the first `order`, or of the latest.
+
+    Any number of sources, one aggregation; of equal orders the smaller row counts (the larger with
+    `latest`).
+    """
+    pick = F.max if latest else F.min
+    best = rows.groupBy(*key).agg(pick(F.struct(order, *value)).alias("_best"))
+    return best.select(*key, *[F.col(f"_best.{c}").alias(c) for c in [*value, order]])
+
+
+def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
+    """`name`: the place from 0 of a column's value among its different values."""
+    values = df.select(column).distinct()
+    return df.join(values.select(column, (F.row_number().over(W.orderBy(column)) - 1).alias(name)), column)
+
+
 def resolve_aliases(cards: DataFrame, aliases: DataFrame, key: str) -> DataFrame:
     """Give an aliased key the card of its base, one hop, where it has none and the base has one."""
     value = [c for c in cards.columns if c != key]
@@ -94,6 +111,3 @@ def override_present(base: DataFrame, patch: DataFrame, key: str, fields: dict[s
         out = out.withColumn(kept, F.col(c)).withColumn(c, F.coalesce(F.nullif(F.col(f"_p_{c}"), F.lit("")), F.col(c)))
     return out.drop(*[f"_p_{c}" for c in fields])
 
-
-def rank_within(df: DataFrame, group: list[str], order: list[Column | str], name: str = "rank") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))

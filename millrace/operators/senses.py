@@ -115,6 +115,51 @@ def label_samples(labelled: DataFrame) -> DataFrame:
     )
 
 
+def shown_senses(kept: DataFrame, function_words: DataFrame, core_words: DataFrame, keep: DataFrame, most_function: int = 6, most_core: int = 5) -> DataFrame:
+    """`kept` (word, sense, place) with `listed` and `shown`: function words are cut to their limit
+    before the manually kept senses join, words with a core card show only their first senses."""
+    flags = kept.join(function_words.select("word").distinct().withColumn("_f", F.lit(True)), "word", "left")
+    first = flags.withColumn("_n", F.row_number().over(W.partitionBy("word").orderBy("place")))
+    cut = first.where(F.col("_f").isNull() | (F.col("_n") <= most_function)).select("word", "sense", "place")
+    added = cut.unionByName(keep.select("word", "sense", "place")).distinct()
+    marked = added.join(function_words.select("word").distinct().withColumn("_f", F.lit(True)), "word", "left")
+    marked = marked.join(core_words.select("word").distinct().withColumn("_c", F.lit(True)), "word", "left")
+    listed = marked.withColumn("listed", F.row_number().over(W.partitionBy("word").orderBy("place")))
+    hidden = F.col("_c").isNotNull() & F.col("_f").isNull() & (F.col("listed") > most_core)
+    return listed.select("word", "sense", "place", "listed", (~hidden).alias("shown"))
+
+
+def gloss_groups(senses: DataFrame, order: str = "place") -> DataFrame:
+    """(word, groups array<struct<pos, text>>): glosses by part of speech, groups by first appearance."""
+    s = senses.withColumn("pos", F.coalesce("pos", F.lit(""))).where(F.col("zh").isNotNull())
+    groups = s.groupBy("word", "pos").agg(
+        F.min(order).alias("first"), F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("zh")))).alias("items")
+    )
+    text = F.array_join(F.transform("items", lambda x: x["zh"]), "; ")
+    lines = groups.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("first", "pos", text.alias("text")))).alias("g"))
+    return lines.select("word", F.transform("g", lambda x: F.struct(x["pos"].alias("pos"), x["text"].alias("text"))).alias("groups"))
+
+
+def definition_line(groups: Column, form: Column, irregular: Column, bare: Column) -> Column:
+    """The definition of a word from its gloss groups.
+
+    A regular form stands in brackets behind the last group it fits, unless a group tells it already;
+    an irregular one stands in front, unless the word is to stay `bare` of it.
+    """
+    told = F.exists(groups, lambda g: g["text"].contains(form))
+    target = form_target(form, F.transform(groups, lambda g: g["pos"]))
+    last = F.array_max(F.filter(F.transform(groups, lambda g, i: F.when(g["pos"] == target, i)), lambda i: i.isNotNull()))
+    marked = F.transform(groups, lambda g, i: F.concat(g["pos"], g["text"], F.when(i == last, F.concat(F.lit("("), form, F.lit(")"))).otherwise(""), F.lit(".")))
+    plain = F.transform(groups, lambda g: F.concat(g["pos"], g["text"], F.lit(".")))
+    in_front = form.isNotNull() & F.coalesce(irregular, F.lit(False))
+    return (
+        F.when(in_front & F.coalesce(bare, F.lit(False)), F.array_join(plain, " "))
+        .when(in_front, F.concat(form, F.lit(". "), F.array_join(plain, " ")))
+        .when(form.isNotNull() & ~told, F.array_join(marked, " "))
+        .otherwise(F.array_join(plain, " "))
+    )
+
+
 def compose_definition(senses: DataFrame, order: str = "place") -> DataFrame:
     """(word, definition): glosses grouped by part of speech, groups by first appearance."""
     s = senses.withColumn("pos", F.coalesce("pos", F.lit(""))).where(F.col("zh").isNotNull())

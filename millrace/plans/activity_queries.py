@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +12,7 @@ from millrace.functions import text as T
 from millrace.functions.time import day_of_millis, micros, truncated
 from millrace.operators import activity as A
 from millrace.operators.ranking import global_rank
+from millrace.plans.checkpoints import shared_folder
 from millrace.sources import corpus, read_table
 from millrace.streaming import activity as S
 
@@ -57,11 +56,14 @@ def pool_advance(spark, sf_dir):
     """Pool size of each learner over the list of words, by the words they marked."""
     marks = _progress(spark, sf_dir).where(F.col("kind") == "mark").select("code", F.col("item").alias("word")).distinct()
     words = global_rank(read_table(spark, sf_dir, "senses").select("word").distinct(), [], ["word"], "rank")
-    learners = marks.groupBy("code").agg(F.array_sort(F.collect_set("word")).alias("marked"))
-    listed = words.groupBy().agg(F.array_sort(F.collect_list(F.struct("rank", "word"))).alias("l"))  # the vocabulary of one course
-    rows = learners.join(F.broadcast(listed)).select("code", "marked", F.explode("l").alias("x"))
-    rows = rows.select("code", F.col("x.rank").alias("rank"), F.array_contains("marked", F.col("x.word")).alias("done"))
-    return A.pool_size(rows, ["code"], "rank", "done", 100, 20)
+    return A.pool_size(marks.join(words, "word", "left"), ["code"], "rank", words.agg(F.max("rank")), 100, 20)
+
+
+def merged_items(spark, sf_dir):
+    """Items a learner marked or reviewed, as one set."""
+    rows = _progress(spark, sf_dir).where(F.col("kind").isin("mark", "review"))
+    out = A.union_sets(rows, ["code"], "item", "kind")
+    return out.select("code", F.size("merged").alias("n"), F.array_join("merged", ",").alias("items"))
 
 
 def marks_by_day(spark, sf_dir):
@@ -87,7 +89,7 @@ def kind_counts(spark, sf_dir):
 
 
 def prefix_filter(spark, sf_dir):
-    return _progress(spark, sf_dir).where((F.col("kind") == "study") & F.col("item").startswith("2024-0")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return _progress(spark, sf_dir).where((F.col("kind") == "study") & F.col("item").startswith("2025-0")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
 def minute_totals(spark, sf_dir):
@@ -126,9 +128,8 @@ def event_timeline(spark, sf_dir):
 
 def percentiles(spark, sf_dir):
     q = [0.05, 0.25, 0.4, 0.5, 0.6, 0.75, 0.95]
-    p = F.percentile("value", q)
-    rows = _events(spark, sf_dir).groupBy("event_type").agg(p.alias("p"))
-    return rows.select("event_type", *[F.round(F.col("p")[i], 6).alias(f"p{round(x * 100):02d}") for i, x in enumerate(q)])
+    out = A.percentiles(_events(spark, sf_dir), "event_type", "value", {f"p{round(x * 100):02d}": x for x in q})
+    return out.select("event_type", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
 
 
 def search_rank(spark, sf_dir):
@@ -159,21 +160,21 @@ def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def _run(stream: DataFrame, mode: str) -> DataFrame:
     """Run a stream over what is there now and give its output rows.
 
-    State goes to the checkpoint folder the cluster names; only a session without one (tests)
-    uses a temporary folder.
+    State and rows go to the shared folder; no row passes the driver. A batch that is run again
+    overwrites its own folder.
     """
     spark = stream.sparkSession
-    name = f"millrace_{uuid.uuid4().hex}"
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    state = f"{shared}/{name}" if shared else tempfile.mkdtemp(prefix="millrace-state-")
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).start()
+    home = f"{shared_folder(spark)}/millrace_{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{home}/rows/batch={batch_id}")
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start()
     try:
         query.awaitTermination()
     finally:
         query.stop()
-        if not shared:
-            shutil.rmtree(state, ignore_errors=True)
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{home}/rows/batch=*")
 
 
 def stream_minutes(spark, sf_dir):
@@ -215,12 +216,13 @@ SELECT user_id, min(d) AS first_day, max(d) AS last_day, count(*) AS days FROM r
 m AS (SELECT DISTINCT code, item FROM progress WHERE kind = 'mark'), c AS (SELECT DISTINCT code FROM m),
 r AS (SELECT c.code, w.rank, sum(CASE WHEN m.item IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY c.code ORDER BY w.rank) AS l FROM c, w LEFT JOIN m ON m.code = c.code AND m.item = w.word)
 SELECT code, coalesce(min(rank) FILTER (rank >= 100 AND (rank - 100) % 80 = 0 AND l > 20), max(rank)) AS pool, max(rank) AS listed FROM r GROUP BY code""",
+    "merged_items": "SELECT code, CAST(count(*) AS INTEGER) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT code, item FROM progress WHERE kind IN ('mark', 'review')) GROUP BY code",
     "marks_by_day": "SELECT kind, CAST(epoch_ms(t) AS DATE) AS day, count(*) AS n FROM progress GROUP BY ALL",
     "daily_series": _DAYS + ", s AS (SELECT kind, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d GROUP BY kind) SELECT s.kind, s.day, coalesce(n, 0) AS n FROM s LEFT JOIN d ON s.kind = d.kind AND s.day = d.day",
     "weekly_sums": _DAYS + " SELECT kind, day, n, CAST(sum(n) OVER (PARTITION BY kind ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS week FROM d",
     "month_totals": "SELECT date_trunc('month', ts)::TIMESTAMP AS month, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL",
     "kind_counts": "SELECT kind, count(*) AS n, count(DISTINCT code) AS codes FROM progress GROUP BY kind",
-    "prefix_filter": "SELECT item, count(*) AS n FROM progress WHERE kind = 'study' AND starts_with(item, '2024-0') GROUP BY item",
+    "prefix_filter": "SELECT item, count(*) AS n FROM progress WHERE kind = 'study' AND starts_with(item, '2025-0') GROUP BY item",
     "minute_totals": """SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS beats, CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS k, max(value) AS value,
 count(DISTINCT hour(ts) * 60 + minute(ts)) AS active, CAST(max(hour(ts) * 60 + minute(ts)) - min(hour(ts) * 60 + minute(ts)) + 1 AS INTEGER) AS span FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     "packed_log": "SELECT user_id AS device, date_trunc('minute', ts)::TIMESTAMP AS minute, count(*)::DOUBLE AS c, max(CAST(props->>'$.k' AS INTEGER))::DOUBLE AS x FROM events GROUP BY 1, 2",
@@ -244,7 +246,7 @@ SELECT * FROM x WHERE last + INTERVAL {GAP_SECONDS} SECONDS <= (SELECT max(ts) F
 QUERIES = {
     f.__name__: f
     for f in (
-        lww_latest, arrival_upsert, device_max_sum, heartbeat_minutes, streak_days, pool_advance, marks_by_day, daily_series,
+        lww_latest, arrival_upsert, device_max_sum, heartbeat_minutes, streak_days, pool_advance, merged_items, marks_by_day, daily_series,
         weekly_sums, month_totals, kind_counts, prefix_filter, minute_totals, packed_log, event_reassembly, event_timeline,
         percentiles, search_rank, paged_rows, active_clock, stream_minutes, stream_sessions, stream_latest,
     )

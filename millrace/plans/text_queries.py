@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import contexts as C
 from millrace.operators import frequency as Q
-from millrace.plans.sql import WS, lemma_sql, sentences_cte, tokens_cte
+from millrace.plans.sql import WS, clean_sql, directions_cte, lemma_sql, sentences_cte, tokens_cte
 from millrace.sources import read_table
 
 LEAST_CHARS = 3000
@@ -47,17 +47,26 @@ def df_in_all_sets(spark, sf_dir):
     return Q.in_all_units(table, n)
 
 
+def _tf_running(spark, sf_dir):
+    return Q.term_frequency(_tokens(spark, sf_dir, []), running=True)
+
+
+def headword_list(spark, sf_dir):
+    """The list of headwords: the first 1,250 by document frequency."""
+    return df_rank(spark, sf_dir).where(F.col("rank") <= 1250).select("rank", "word")
+
+
 def cutoff_80(spark, sf_dir):
-    return Q.cumulative_cutoff(tf_surface(spark, sf_dir))
+    return Q.cumulative_cutoff(_tf_running(spark, sf_dir))
 
 
 def tf_df_overlap(spark, sf_dir):
-    tf = tf_surface(spark, sf_dir)
+    tf = _tf_running(spark, sf_dir)
     return Q.list_overlap(tf, df_rank(spark, sf_dir), Q.cumulative_cutoff(tf).select("cutoff"))
 
 
 def _top(spark, sf_dir):
-    tf = tf_surface(spark, sf_dir)
+    tf = _tf_running(spark, sf_dir)
     return tf.join(F.broadcast(Q.cumulative_cutoff(tf).select("cutoff")), F.col("rank") <= F.col("cutoff"))
 
 
@@ -100,7 +109,7 @@ def set_names(spark, sf_dir):
 
 
 def stub_filters(spark, sf_dir):
-    n = F.length(T.squash(F.coalesce("text", F.lit(""))))
+    n = F.length(T.strip(F.coalesce("text", F.lit(""))))
     rows = _docs(spark, sf_dir).withColumn("band", F.when(n < 200, "short").when(n < 3000, "stub").otherwise("full"))
     return rows.groupBy("band").agg(F.count(F.lit(1)).alias("docs"))
 
@@ -157,18 +166,20 @@ def headword_totals(spark, sf_dir):
 
 
 def top_words(spark, sf_dir):
-    return tf_surface(spark, sf_dir).where(F.col("rank") <= 25)
+    return Q.top_terms(_tokens(spark, sf_dir, []), 25)
 
 
 def directions_blocks(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.posexplode(C.directions_lines(F.col("text"))).alias("pos", "line"))
+    """Lines of Directions blocks; every tenth document is given one in front, as the tables hold none."""
+    front = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("Directions: For this part you\nare to write\n\n"), "text")).otherwise(F.col("text"))
+    return C.directions_lines(_docs(spark, sf_dir).select("doc_id", front.alias("text")), "text", ["doc_id"])
 
 
 def peek_context(spark, sf_dir):
-    """100 characters on both sides of the first words of each document's second sentence."""
-    second = _sentences(spark, sf_dir).where(F.col("pos") == 1).select("doc_id", "sentence")
-    rows = _docs(spark, sf_dir).select("doc_id", "text").join(second, "doc_id")
-    return C.peek(rows, "text", "sentence", 100).select("doc_id", F.md5(F.encode("around", "UTF-8")).alias("h"))
+    """700 characters on both sides of the first words of every sentence."""
+    d = _docs(spark, sf_dir)
+    rows = d.select("doc_id", "text", F.posexplode(T.sentence_pieces(F.col("text"))).alias("pos", "sentence"))
+    return C.peek(rows, "text", "sentence").select("doc_id", "pos", F.md5(F.encode("around", "UTF-8")).alias("h"))
 
 
 _TOK = "WITH " + tokens_cte("documents", "doc_id")
@@ -201,12 +212,12 @@ uniq AS (SELECT word, sentence, count(*) AS n, CAST(sum(k) AS BIGINT) AS hits, m
 turns AS (SELECT *, row_number() OVER (PARTITION BY word, f.s ORDER BY f.d, f.p, sentence) AS turn FROM uniq),
 placed AS (SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY turn, f.s) - 1 AS INTEGER) AS id,
   substr(sha1(sentence), 1, 16) AS sid, n, hits, f.s AS src FROM turns)"""
-_CLEANED = tokens_cte("documents", "doc_id").split("lower(")[1].split("), '([")[0]
+_FRONT = "SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'Directions: For this part you' || chr(10) || 'are to write' || chr(10) || chr(10) || text ELSE text END AS text FROM documents"
 
 QUERIES = {
     f.__name__: f
     for f in (
-        tf_surface, tf_lemma, df_rank, df_in_all_sets, cutoff_80, tf_df_overlap, coverage_per_doc, coverage_summary,
+        tf_surface, tf_lemma, df_rank, headword_list, df_in_all_sets, cutoff_80, tf_df_overlap, coverage_per_doc, coverage_summary,
         stub_sets, contraction_repair, clean_texts, window_scan, set_names, stub_filters, sentences, sentence_ids,
         sentence_multiplicity, boilerplate, headword_contexts, first_contexts, headword_totals, top_words, directions_blocks, peek_context,
     )
@@ -224,11 +235,11 @@ ORACLE = {
     "stub_sets": f"""SELECT set_key FROM documents WHERE sub IN ('papers', 'listening') AND set_key IS NOT NULL
 GROUP BY set_key HAVING NOT coalesce(sum(length(text)) >= {LEAST_CHARS}, false)""",
     "contraction_repair": f"{_TOK} SELECT w, CASE w WHEN 'ca' THEN 'can' WHEN 'wo' THEN 'will' WHEN 'sha' THEN 'shall' ELSE 'not' END AS word, count(*) AS n FROM tokens_cut WHERE w IN ('ca', 'wo', 'sha', 'n''t') GROUP BY w",
-    "clean_texts": f"SELECT doc_id, substr(sha256({_CLEANED}), 1, 16) AS h FROM documents",
+    "clean_texts": f"SELECT doc_id, substr(sha256({clean_sql()}), 1, 16) AS h FROM documents",
     "window_scan": "SELECT sub, exam_year, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE exam_year BETWEEN 2021 AND 2024 GROUP BY ALL",
     "set_names": "SELECT doc_id, set_key || CASE WHEN sub = 'listening' THEN '·听力' ELSE '' END AS src, substr(set_key, 1, 7) AS sitting FROM documents WHERE set_key IS NOT NULL",
     "stub_filters": f"""SELECT CASE WHEN n < 200 THEN 'short' WHEN n < 3000 THEN 'stub' ELSE 'full' END AS band, count(*) AS docs
-FROM (SELECT length(trim(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g'))) AS n FROM documents) GROUP BY 1""",
+FROM (SELECT length(regexp_replace(coalesce(text, ''), '^{WS}+|{WS}+$', '', 'g')) AS n FROM documents) GROUP BY 1""",
     "sentences": "WITH " + sentences_cte("documents", "doc_id") + " SELECT doc_id, pos, md5(sentence) AS h FROM sentences",
     "sentence_ids": "WITH " + sentences_cte("documents", "doc_id") + " SELECT substr(sha1(sentence), 1, 16) AS sid, count(*) AS n FROM sentences GROUP BY 1",
     "sentence_multiplicity": f"{_MULT} SELECT * FROM mult",
@@ -237,7 +248,9 @@ FROM (SELECT length(trim(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g')))
     "first_contexts": f"{_CTX} SELECT * FROM placed WHERE id < 80",
     "peek_context": "WITH " + sentences_cte("documents", "doc_id") + """, k AS (
   SELECT d.doc_id, text, array_to_string(list_slice(string_split(sentence, ' '), 1, 8), ' ') AS key
-  FROM documents d JOIN sentences s USING (doc_id) WHERE pos = 1), i AS (SELECT *, instr(text, key) AS hit FROM k)
-SELECT doc_id, CASE WHEN hit > 0 THEN md5(substr(text, greatest(hit - 100, 1), hit - greatest(hit - 100, 1) + length(key) + 100)) END AS h FROM i""",
+  , pos FROM documents d JOIN sentences s USING (doc_id)), i AS (SELECT *, instr(text, key) AS hit FROM k)
+SELECT doc_id, pos, CASE WHEN hit > 0 THEN md5(substr(text, greatest(hit - 700, 1), hit - greatest(hit - 700, 1) + length(key) + 700)) END AS h FROM i""",
+    "headword_list": f"{_DF} SELECT rank, word FROM dfr WHERE rank <= 1250",
+    "directions_blocks": f"WITH fronted AS ({_FRONT}), {directions_cte('fronted', 'doc_id')} SELECT * FROM blocks",
     "headword_totals": f"{_SRC} SELECT word, count(*) AS total, count(DISTINCT src) AS sources FROM occ GROUP BY word",
 }

@@ -10,11 +10,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.operators.ranking import global_rank
 
-def read_corpus(spark: SparkSession, root: str, subs: list[str], years: list[int] | None = None) -> DataFrame:
+
+def read_corpus(
+    spark: SparkSession, root: str, subs: list[str], years: list[int] | None = None, prefix: str = "cet4_"
+) -> DataFrame:
     """(path, sub, name, year, sitting, set_key, body), one row per file of `<root>/<sub>/*.txt`.
 
-    A file name without a year is an error. `years` keeps only those years; None keeps all.
+    A file name without a year is an error. `years` keeps only those years; None keeps all. `prefix`
+    stands before the year; a sitting is the prefix, year and month, a set key the name without it.
     """
     paths = [f"{root}/{s}/*.txt" for s in subs]
     raw = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
@@ -31,7 +36,7 @@ def read_corpus(spark: SparkSession, root: str, subs: list[str], years: list[int
     stem = F.regexp_replace("name", "_ans", "")
     return rows.select(
         "path", F.element_at(F.split("path", "/"), -2).alias("sub"), "name", "year",
-        F.substring("name", 1, 12).alias("sitting"), F.regexp_replace(stem, "^cet4_", "").alias("set_key"), "body",
+        F.substring("name", 1, len(prefix) + 7).alias("sitting"), F.regexp_replace(stem, f"^{prefix}", "").alias("set_key"), "body",
     )
 
 
@@ -177,5 +182,5 @@ def markdown_blocks(texts: DataFrame, key: list[str], body: str) -> DataFrame:
 
 def pages_by_offset(df: DataFrame, order: list[str], size: int = 1000) -> DataFrame:
     """`page` and `place` of rows read in pages of a fixed size in a total order."""
-    rn = F.row_number().over(W.orderBy(*order)) - 1
-    return df.withColumn("place", rn).withColumn("page", F.floor(F.col("place") / size).cast("int"))
+    ranked = global_rank(df, [], list(order), "place").withColumn("place", F.col("place") - 1)
+    return ranked.withColumn("page", F.floor(F.col("place") / size).cast("int"))

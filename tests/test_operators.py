@@ -47,8 +47,16 @@ def test_coverage_counts_misses(spark):
 
 def test_directions_block(spark):
     text = "Directions: read\nthe text\nnow.\nother\nDirectlons: x.\ny\nDirections a\n\nb"
-    df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(C.directions_lines(F.col("t")).alias("d")).first()["d"] == ["Directions: read", "the text", "now.", "Directlons: x.", "Directions a"]
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "i int, t string")
+    got = [r["line"] for r in C.directions_lines(df, "t", ["i"]).orderBy("i", "pos").collect()]
+    assert got == ["Directions: read", "the text", "now.", "Directlons: x.", "Directions a"]
+
+
+def test_instructions_by_wording_sittings_and_blocks(spark):
+    s = spark.createDataFrame([("You will hear two long talks.", "a"), *[("Same words again here.", x) for x in "abc"], ("Only twice said here.", "a"), ("Only twice said here.", "b")], "sentence string, src string")
+    docs = spark.createDataFrame([(1, "Directions: Write an essay now\nof ten words only.\nNot this line here.")], "i int, t string")
+    got = rows(C.instruction_sentences(s, F.col("src"), docs, "t", ["i"]), "sentence")
+    assert got == [("Directions: Write an essay now",), ("Same words again here.",), ("You will hear two long talks.",), ("of ten words only.",)]
 
 
 def test_headwords_by_tokens(spark):
@@ -62,6 +70,17 @@ def test_next_fit(spark):
     df = spark.createDataFrame([("g", i, n) for i, n in enumerate([4, 6, 25, 1, 9, 1])], "g string, i int, n int")
     got = [r["bin"] for r in C.next_fit(df, ["g"], "i", "n", 10).orderBy("i").collect()]
     assert got == [0, 0, 1, 2, 2, 3]
+    random.seed(5)
+    data = [(random.choice(["hot"] * 4 + ["a", None]), i, random.choice([0, 1, 3, 9, 10, 12])) for i in range(400)]
+    got = {r["i"]: r["bin"] for r in C.next_fit(spark.createDataFrame(data, "g string, i int, n int"), ["g"], "i", "n", 10).collect()}
+    for g in {d[0] for d in data}:
+        used = b = 0
+        for _, i, n in [d for d in data if d[0] == g]:
+            if used > 0 and used + n > 10:
+                b, used = b + 1, 0
+            used += n
+            assert got[i] == b, (g, i)
+    assert C.next_fit(df.limit(0), ["g"], "i", "n", 10).count() == 0
 
 
 def test_stripe_is_permutation(spark):
@@ -143,8 +162,8 @@ def test_pool_closed_form(spark):
         pool = min(size, n)
         while pool < n and sum(not d for d in done[:pool]) <= low:
             pool = min(pool + size - low, n)
-        df = spark.createDataFrame([("c", i + 1, d) for i, d in enumerate(done)], "c string, rank int, done boolean")
-        assert A.pool_size(df, ["c"], "rank", "done", size, low).first()["pool"] == pool
+        df = spark.createDataFrame([("c", i + 1) for i, d in enumerate(done) if d] + [("c", None)], "c string, rank int")
+        assert A.pool_size(df, ["c"], "rank", spark.createDataFrame([(n,)], "n int"), size, low).first()["pool"] == pool
 
 
 def test_reassemble_last_duplicate_wins(spark):
@@ -207,13 +226,23 @@ def test_phrase_hits_equal_nested_loop(spark):
     s = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, sentence string")
     p = spark.createDataFrame([(x,) for x in phrases] + [(None,)], "phrase string")
     got = rows(C.phrase_hits(s, p), "id", "phrase")
-    want = []
-    for i, t in enumerate(texts):
-        for x in phrases:
-            rx = phrase_pattern(x)
-            if rx and spark.createDataFrame([(t,)], "t string").where(F.rlike("t", F.lit(rx))).count():
-                want.append((i, x))
-    assert got == sorted(want) and len(got) >= 3
+    every = s.crossJoin(p).where(F.rlike(F.col("sentence"), phrase_pattern(F.col("phrase"))))
+    assert got == rows(every, "id", "phrase") and len(got) >= 3
+    over = C.over_headword(C.phrase_hits(s, p).withColumn("word", F.lit("face")), "word")
+    assert {r["id"] for r in over.collect()} == {2, 3}
+
+
+def test_name_hint(spark):
+    df = spark.createDataFrame([("He met Will there.",), ("Will he come?",), ("It is over. Will you?",), ("he will go",)], "t string")
+    assert [r[0] for r in df.select(C.name_hint(F.col("t"), "will")).collect()] == [True, False, False, False]
+
+
+def test_definition_line(spark):
+    groups = "array<struct<pos:string,text:string>>"
+    data = [([("v.", "学习"), ("n.", "书房")], "study 的复数", False, False), ([("v.", "去")], "go 的过去式", True, False), ([("v.", "去")], "go 的过去式", True, True), ([("n.", "猫")], None, None, None)]
+    df = spark.createDataFrame(data, f"g {groups}, form string, irr boolean, bare boolean")
+    got = [r[0] for r in df.select(S.definition_line(*map(F.col, ("g", "form", "irr", "bare")))).collect()]
+    assert got == ["v.学习. n.书房(study 的复数).", "go 的过去式. v.去.", "v.去.", "n.猫."]
 
 
 def test_signals(spark):

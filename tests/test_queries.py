@@ -18,9 +18,8 @@ def test_same_as_sql(spark, con, name):
     assert_same(spark, con, registry.QUERIES[name], registry.ORACLE[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE)))
-def test_runs(spark, name):
-    assert registry.QUERIES[name](spark, DATA).count() >= 0
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(registry.ORACLE)
 
 
 def test_entry_is_ranked(spark):
