@@ -7,11 +7,11 @@ are formed by fingerprint; members are then compared with their group's first re
 field, counting each pair on both sides. A member that differs from it (a hash collision) is
 grouped again by its exact fields, so collisions neither join nor lose records.
 
-Only (keys, fingerprint, id) go through the grouping shuffle, with map-side partial counts, so
-a group that holds a third of all rows is one small record per map task. Texts travel only for
-groups of two or more. The largest groups, at most `HOT_GROUPS` of at least `HOT_COPIES` records,
-never meet in a shuffle: their first records are broadcast (at most that many) and compared where
-the members lie. Of the others none can hold more than one part in `HOT_GROUPS` of the rows.
+Only (fingerprint, id) go through the grouping shuffle, with map-side partial counts, so a group
+that holds a third of all rows is one small record per map task. The groups of two or more are
+counted; up to `BROADCAST_ROWS` of them are broadcast to find their members, more are joined by
+shuffle. Only members travel with their fields, once. A group is spread over one salt for every
+`SALT_COPIES` of its records, whatever its size, and its first record is sent to each salt.
 
 Defined cases: null text gives no record; a text that is no readable card is one field of its
 own; an empty text is a record with an empty value; a JSON null counts as an empty value.
@@ -23,11 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import case_fold
+from millrace.plans.checkpoints import cut
 
 CARD_ITEMS = r"\r\n|\n|\r| \| |; "
 MASK = (1 << 52) - 1
-HOT_COPIES = 20_000
-HOT_GROUPS = 1_000
+SALT_COPIES = 20_000
+BROADCAST_ROWS = 500_000
 
 
 def content(value: Column) -> Column:
@@ -88,43 +89,52 @@ def same_fields(left: Column, right: Column) -> Column:
     )
 
 
-def _records(df: DataFrame, id_col: str, keys: list[str], fields: Column) -> DataFrame:
+def _records(df: DataFrame, id_col: str, keys: list[str], fields: Column, carry: list[str]) -> DataFrame:
     return df.select(
         F.col(id_col).alias("_id"),
         *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)],
         fields.alias("_fields"),
     ).where(F.col("_fields").isNotNull())
 
 
-def copy_members(df: DataFrame, id_col: str, keys: list[str], fields: Column) -> DataFrame:
-    """(keys, first_id, copy_id): each record with the first of its class; firsts stand alone out.
+def _members(marked: DataFrame) -> DataFrame:
+    """Records of groups of two or more, with `_first`, `_salts` and their `_salt`; written once."""
+    groups = marked.groupBy("_h").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
+    groups = cut(groups.select("_h", "_first", F.ceil(F.col("_copies") / SALT_COPIES).cast("int").alias("_salts")))
+    salt = F.pmod(F.xxhash64("_id"), F.col("_salts")).cast("int")
+    if groups.count() <= BROADCAST_ROWS:
+        return cut(marked.join(F.broadcast(groups), "_h").withColumn("_salt", salt))
+    large = cut(groups.where(F.col("_salts") > 1).select("_h", "_salts"))
+    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    salted = marked.join(large, "_h", "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_salts")
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    return cut(salted.join(spread, ["_h", "_salt"]))
 
-    `fields` gives a record's bag of (name, value). Null keys are keys like any other.
+
+def copy_members(df: DataFrame, id_col: str, keys: list[str], fields: Column, carry: list[str] | None = None) -> DataFrame:
+    """(keys, carry, first_id, copy_id): each record with the first of its class; firsts stand alone out.
+
+    `fields` gives a record's bag of (name, value). Null keys are keys like any other; `carry` names
+    columns of the copies to keep.
     """
+    carry = carry or []
     names = [f"_key{i}" for i in range(len(keys))]
-    records = _records(df, id_col, keys, fields)
+    extra = [f"_carry{i}" for i in range(len(carry))]
+    records = _records(df, id_col, keys, fields, carry)
     marked = records.withColumn("_h", F.xxhash64(*names, fingerprint(F.col("_fields"))))
-    groups = (
-        marked.groupBy("_h")
-        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .where(F.col("_copies") > 1)
-    )
-    hot = groups.where(F.col("_copies") >= HOT_COPIES).orderBy(F.desc("_copies"), "_h").limit(HOT_GROUPS)
-    hot = hot.select("_h", "_first")
-    heads_of = lambda rows: rows.where(F.col("_id") == F.col("_first")).select(
-        "_h", F.col("_fields").alias("_head"), *[F.col(n).alias(f"_head{n}") for n in names]
-    )
-    hot_heads = heads_of(marked.join(F.broadcast(hot), "_h")).join(hot, "_h")
-    hot_rows = marked.join(F.broadcast(hot_heads), "_h").where(F.col("_id") != F.col("_first"))
-    members = marked.join(groups.join(F.broadcast(hot), "_h", "left_anti").select("_h", "_first"), "_h")
-    cold_rows = members.where(F.col("_id") != F.col("_first")).join(heads_of(members), "_h")
+    members = _members(marked)
+    heads = members.where(F.col("_id") == F.col("_first")).select(
+        "_h", F.col("_fields").alias("_head"), *[F.col(n).alias(f"_head{n}") for n in names],
+        F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
+    )
     equal = same_fields(F.col("_fields"), F.col("_head"))
     for n in names:
         equal = equal & F.col(n).eqNullSafe(F.col(f"_head{n}"))
-    compared = hot_rows.select(*cold_rows.columns).unionByName(cold_rows).withColumn("_equal", equal)
-    kept = compared.where("_equal").select(*names, F.col("_first").alias("first_id"), F.col("_id").alias("copy_id"))
+    compared = members.where(F.col("_id") != F.col("_first")).join(heads, ["_h", "_salt"]).withColumn("_equal", equal)
+    kept = compared.where("_equal").select(*names, *extra, F.col("_first").alias("first_id"), F.col("_id").alias("copy_id"))
     others = compared.where(~F.col("_equal")).select(
-        *names, "_id", F.array_sort("_fields").alias("_exact")
+        *names, *extra, "_id", F.array_sort("_fields").alias("_exact")
     )
     regrouped = others.groupBy(*names, "_exact").agg(F.min("_id").alias("_first"))
     rest = (
@@ -134,10 +144,11 @@ def copy_members(df: DataFrame, id_col: str, keys: list[str], fields: Column) ->
             [F.col(f"o.{n}").eqNullSafe(F.col(f"r.{n}")) for n in names]
             + [F.col("o._exact") == F.col("r._exact"), F.col("o._id") != F.col("r._first")],
         )
-        .select(*[F.col(f"o.{n}") for n in names], F.col("r._first").alias("first_id"), F.col("o._id").alias("copy_id"))
+        .select(*[F.col(f"o.{n}") for n in [*names, *extra]], F.col("r._first").alias("first_id"), F.col("o._id").alias("copy_id"))
     )
     out = kept.unionByName(rest)
-    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "first_id", "copy_id")
+    named = [F.col(n).alias(k) for n, k in zip([*names, *extra], [*keys, *carry])]
+    return out.select(*named, "first_id", "copy_id")
 
 
 def context_fields(form: Column, text: Column) -> Column:
@@ -162,11 +173,12 @@ def collapse_contexts(contexts: DataFrame) -> DataFrame:
     Null `n` counts as 0; `total_n` is null only where every copy's `n` is null.
     """
     rows = contexts.where(F.col("form").isin("sentence", "card") & F.col("text").isNotNull())
-    copies = context_copies(contexts)
-    owner = (
-        rows.select("ctx_id", "n")
-        .join(copies.withColumnRenamed("copy_id", "ctx_id"), "ctx_id", "left")
-        .groupBy(F.coalesce("first_id", "ctx_id").alias("ctx_id"))
-        .agg(F.count(F.lit(1)).alias("copies"), F.sum("n").alias("total_n"))
-    )
-    return rows.select("ctx_id", "word", "form", "text").join(owner, "ctx_id")
+    fields = context_fields(F.col("form"), F.col("text"))
+    copies = cut(copy_members(rows, "ctx_id", ["word", "form"], fields, ["n"]).select("first_id", "copy_id", "n"))
+    more = copies.groupBy(F.col("first_id").alias("ctx_id")).agg(F.count(F.lit(1)).alias("_more"), F.sum("n").alias("_sum"))
+    firsts = rows.select("ctx_id", "word", "form", "text", "n").join(copies.select(F.col("copy_id").alias("ctx_id")), "ctx_id", "left_anti")
+    out = firsts.join(more, "ctx_id", "left")
+    return out.select(
+        "ctx_id", "word", "form", "text", (F.coalesce("_more", F.lit(0)) + 1).alias("copies"),
+        F.coalesce(F.col("n") + F.col("_sum"), "n", "_sum").alias("total_n"),
+    )

@@ -85,10 +85,20 @@ def test_empty_and_clashing_columns(spark):
 
 
 def test_hot_groups_give_the_same_pairs(spark, monkeypatch):
-    monkeypatch.setattr(C, "HOT_COPIES", 5)
-    monkeypatch.setattr(C, "HOT_GROUPS", 2)
+    monkeypatch.setattr(C, "SALT_COPIES", 3)
+    check_hot(spark)
+    monkeypatch.setattr(C, "BROADCAST_ROWS", 0)
+    check_hot(spark)
+
+
+def check_hot(spark):
     rows = data()
     df = spark.createDataFrame(rows, SCHEMA)
     got = [(r["first_id"], r["copy_id"]) for r in C.context_copies(df).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows)
     assert sum(r["copies"] for r in C.collapse_contexts(df).collect()) == sum(r[3] is not None and r[2] != "page" for r in rows)
+
+
+def test_case_is_folded_in_full(spark):
+    rows = [(1, "w", "sentence", "The SUN and ﬁne λογος", 1), (2, "w", "sentence", "the ſun and FINE ΛΟΓΟΣ", 2)]
+    assert [tuple(r) for r in C.context_copies(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 2)]
