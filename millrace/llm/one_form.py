@@ -39,7 +39,7 @@ LOOKALIKES = {
     "АВЕКМНОРСТУХІЈЅԌԚԜ": "ABEKMHOPCTYXIJSGQW",
     "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ": "ABEZHIKMNOPTYX",
     "ϲϳ": "cj",
-    "оոսհց": "onuhg",
+    "ոսհ": "nuh",
 }
 HYPHENS = "‐‑⁃﹣"
 _FOLDED = {"<wide>", "<narrow>", "<compat>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>", "<small>", "<vertical>", "<font>"}
@@ -264,22 +264,21 @@ def add_one_form(df: DataFrame, columns: list[str], suffix: str = "_one") -> Dat
 def find_same_looking(examples: DataFrame, entries: DataFrame) -> DataFrame:
     """(example_id, entry_id): an entry shows the example to the eye, in other characters.
 
-    Only keys of 16 bytes and ids are joined first; the strings of the pairs found are then
-    compared whole, so a hash collision gives no pair. A word or text that stands in a large
-    part of the rows is spread by the hash of its folded text.
+    Only 128-bit keys of word and folded text, a hash of the stored text, and ids meet in the join; no
+    text is shuffled. A key is two hashes of 64 bits, so that two texts share one by chance in one of
+    2^128 pairs; the pairs whose stored texts hash alike are left out as the same text.
     """
     shown = examples.where(F.col("en").isNotNull() & F.col("zh").isNotNull()).select(
-        "word", "example_id", F.concat("en", F.lit("（"), "zh", F.lit("）")).alias("shown")
+        "word", "example_id", F.concat("en", F.lit("（"), "zh", F.lit("）")).alias("text")
     )
-    kept = entries.where(F.col("ex").isNotNull()).select("word", "entry_id", "ex")
-    left = _folded(shown, {"shown": "key"}, "always")
-    right = _folded(kept, {"ex": "key"}, "always")
-    h = lambda d: d.withColumn("h", F.xxhash64("word", "key"))
-    a, b = h(left).alias("a"), h(right).alias("b")
-    same = (
-        (F.col("a.h") == F.col("b.h"))
-        & (F.col("a.word") == F.col("b.word"))
-        & (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.shown") != F.col("b.ex"))
-    )
-    return a.join(b, same).select("example_id", "entry_id")
+    kept = entries.where(F.col("ex").isNotNull()).select("word", "entry_id", F.col("ex").alias("text"))
+
+    def keyed(rows: DataFrame, id_col: str) -> DataFrame:
+        folded = _folded(rows.where(F.col("word").isNotNull()), {"text": "key"}, "always")
+        pair = lambda seed, *c: F.xxhash64(F.lit(seed), *c)
+        return folded.select(id_col, pair("a", "word", "key").alias("a"), pair("b", "word", "key").alias("b"), pair("c", "text").alias("c"), pair("d", "text").alias("d"))
+
+    x, y = keyed(shown, "example_id").alias("x"), keyed(kept, "entry_id").alias("y")
+    other = (F.col("x.c") != F.col("y.c")) | (F.col("x.d") != F.col("y.d"))
+    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.b") == F.col("y.b")) & other
+    return x.join(y, same).select("example_id", "entry_id")
