@@ -72,7 +72,7 @@ def mix(
             path=tokenizer,
         ).select("doc_id", "source", "tokens")
     )
-    totals = sized.groupBy("source").agg(F.sum("tokens").alias("available"), F.count(F.lit(1)).alias("n"))
+    totals = sized.groupBy("source").agg(F.sum("tokens").alias("available"), F.count(F.lit(1)).alias("n"), F.max("tokens").alias("longest"))
     plan = [
         r.asDict() for r in wanted.join(totals, "source").where(F.col("available") > 0).collect()
     ]  # one row for each target at most
@@ -108,7 +108,10 @@ def mix(
         "source", "doc_id", "repeat", "tokens",
         ((F.col("range_start") + F.col("upto")) / F.col("share")).alias("finish"),
     )
-    timed = cut(timed.where(F.col("finish") <= F.lit(end * (1 + 1e-9) + max([0.0, *(r["available"] / r["share"] for r in plan)]))))
+    # what is left of the budget at the end is less than one document of every source, and the sources
+    # still there fill it at their shares
+    beyond = sum(r["longest"] for r in plan) / min(r["share"] for r in plan) if plan else 0.0
+    timed = cut(timed.where(F.col("finish") <= F.lit(end * (1 + 1e-9) + beyond)))
     kept = timed.where(F.col("finish") <= F.lit(end * (1 + 1e-12)))
     used = kept.agg(F.sum("tokens")).first()[0] or 0
     order = ["finish", "source", "doc_id", "repeat"]

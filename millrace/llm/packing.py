@@ -4,7 +4,9 @@ Each document becomes a hashed vector of its tokens, projected to `DIMS` numbers
 random signs; their ranks on a grid give its place on a Hilbert curve, along which documents of
 like content are neighbours. All items are range-sorted along the curve, and each task packs
 its stretch: a window of neighbours at a time goes into the fullest container with room,
-largest first, and containers that stay too empty are opened again for the next window. A
+largest first, and containers that stay too empty are opened again for the next window. A window
+looks ahead over `WINDOW` documents, or as many as fill `WINDOW_BINS` containers: larger ones would
+fill containers a little better and put documents together that lie far apart on the curve. A
 document above the capacity is cut into full containers and one rest, which is an item like any
 other; nothing else is cut.
 
@@ -33,7 +35,9 @@ from millrace.plans.checkpoints import cut
 DIMS = 4
 BITS = 8
 BUCKETS = 512
-WINDOW = 4096
+#: A window is packed when it holds so many documents and the tokens of so many containers.
+WINDOW = 128
+WINDOW_BINS = 20
 REOPEN = 0.02
 ROWS_PER_TASK = 200_000
 
@@ -90,6 +94,7 @@ class Packer:
     def __init__(self, capacity: int, first_bin: int):
         self.capacity, self.next_bin = capacity, first_bin
         self.waiting: list[tuple[int, int]] = []
+        self.held = 0
 
     def full(self, n: int) -> list[int]:
         """Numbers for n containers that one piece fills."""
@@ -99,7 +104,8 @@ class Packer:
     def add(self, items: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """Take (size, item) pairs; give (bin, unused, item) of the containers now closed."""
         self.waiting += items
-        return self._pack(last=False) if len(self.waiting) >= WINDOW else []
+        self.held += sum(size for size, _ in items)
+        return self._pack(last=False) if len(self.waiting) >= WINDOW and self.held >= WINDOW_BINS * self.capacity else []
 
     def close(self) -> list[tuple[int, int, int]]:
         return self._pack(last=True) if self.waiting else []
@@ -117,7 +123,7 @@ class Packer:
             bins[b].append((size, item))
             insort(room, (free - size, b))
         free_of = {b: free for free, b in room}
-        self.waiting = []
+        window, self.waiting = len(self.waiting), []
         out = []
         limit = self.capacity * REOPEN
         for b, content in enumerate(bins):
@@ -126,8 +132,9 @@ class Packer:
                 continue
             out += [(self.next_bin, free_of[b], item) for _, item in content]
             self.next_bin += 1
-        if len(self.waiting) >= WINDOW // 2 and not last:
+        if len(self.waiting) >= max(1, window // 2) and not last:
             out += self._flush_half()
+        self.held = sum(size for size, _ in self.waiting)
         return out
 
     def _flush_half(self) -> list[tuple[int, int, int]]:
@@ -144,9 +151,9 @@ class Packer:
 def pack(
     documents: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER
 ) -> DataFrame:
-    """One row per piece: container, capacity, bin, doc, piece, token_from, token_to, unused.
+    """One row per piece: container, capacity, bin, doc, place, piece, token_from, token_to, unused.
 
-    `bin` is unique within its container; `unused` is the free space of the piece's bin; pieces
+    `bin` is unique within its container; `place` is the document's on the curve; `unused` is the free space of the piece's bin; pieces
     are numbered from 0; token positions are half open.
     """
     wanted = [
@@ -167,7 +174,7 @@ def pack(
     items = sized.select("doc", "tokens", "place", F.explode(sizes).alias("c")).select("c.container", "c.capacity", "place", "doc", "tokens")
     parts = max(1, -(-sized.count() * len(wanted) // ROWS_PER_TASK))
     ranged = items.repartitionByRange(parts, "container", "place", "doc").sortWithinPartitions("container", "place", "doc")
-    schema = f"container string, capacity int, bin bigint, doc {id_type}, piece int, token_from bigint, token_to bigint, unused bigint"
+    schema = f"container string, capacity int, bin bigint, doc {id_type}, place bigint, piece int, token_from bigint, token_to bigint, unused bigint"
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = TaskContext.get().partitionId() << 36
@@ -176,7 +183,7 @@ def pack(
         serial = 0
 
         def frame(done: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(done, columns=["container", "capacity", "bin", "doc", "piece", "token_from", "token_to", "unused"])
+            return pd.DataFrame(done, columns=["container", "capacity", "bin", "doc", "place", "piece", "token_from", "token_to", "unused"])
 
         def named(key: tuple[str, int], closed: list[tuple[int, int, int]]) -> list[tuple]:
             return [(*key, b, *held.pop(item), unused) for b, unused, item in closed]
@@ -187,12 +194,12 @@ def pack(
                 key = (key[0], int(key[1]))
                 packer = packers.setdefault(key, Packer(key[1], first))
                 new = []
-                for doc, tokens in zip(group["doc"], group["tokens"]):
+                for doc, place, tokens in zip(group["doc"], group["place"], group["tokens"]):
                     whole, rest = divmod(int(tokens), key[1]) if tokens > key[1] else (0, int(tokens))
                     for piece, b in enumerate(packer.full(whole)):
-                        done.append((*key, b, doc, piece, piece * key[1], (piece + 1) * key[1], 0))
+                        done.append((*key, b, doc, place, piece, piece * key[1], (piece + 1) * key[1], 0))
                     if rest or not whole:
-                        held[serial] = (doc, whole, whole * key[1], whole * key[1] + rest)
+                        held[serial] = (doc, place, whole, whole * key[1], whole * key[1] + rest)
                         new.append((rest, serial))
                         serial += 1
                 for i in range(0, len(new), WINDOW):
@@ -204,14 +211,17 @@ def pack(
 
 
 def packing_report(packed: DataFrame) -> DataFrame:
-    """Per container: bins, documents, tokens used, space unused and the share filled."""
+    """Per container: bins, documents, tokens used, space unused, the share filled and `span`, the
+    mean part of the curve between neighbouring documents of a bin (a third for documents at random)."""
     bins = packed.groupBy("container", "capacity", "bin").agg(
-        F.sum(F.col("token_to") - F.col("token_from")).alias("used"), F.count(F.lit(1)).alias("pieces")
-    )
+        F.sum(F.col("token_to") - F.col("token_from")).alias("used"), F.count(F.lit(1)).alias("pieces"),
+        F.when(F.count(F.lit(1)) > 1, (F.max("place") - F.min("place")) / (F.count(F.lit(1)) - 1) / F.lit(float(1 << (DIMS * BITS)))).alias("gap"),
+    )
     return bins.groupBy("container", "capacity").agg(
         F.count(F.lit(1)).alias("bins"),
         F.sum("pieces").alias("pieces"),
         F.sum("used").alias("used"),
         F.sum(F.col("capacity") - F.col("used")).alias("unused"),
         (F.sum("used") / F.sum("capacity")).alias("filled"),
+        F.avg("gap").alias("span"),
     )

@@ -78,6 +78,30 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(p6_packed(spark, sf_dir))
 
 
+def p6_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per container: documents that stand in it once and whole, containers above capacity, and
+    documents cut although they fit."""
+    packed = p6_packed(spark, sf_dir)
+    docs = packed.groupBy("container", "capacity", "doc").agg(
+        F.count(F.lit(1)).alias("pieces"), F.min("token_from").alias("a"), F.max("token_to").alias("b"), F.sum(F.col("token_to") - F.col("token_from")).alias("n")
+    )
+    bins = packed.groupBy("container", "bin").agg((F.sum(F.col("token_to") - F.col("token_from")) > F.first("capacity")).alias("over"))
+    whole = docs.groupBy("container").agg(
+        F.count_if((F.col("a") == 0) & (F.col("b") == F.col("n"))).alias("whole"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= F.col("capacity"))).alias("cut")
+    )
+    return whole.join(bins.groupBy("container").agg(F.count_if("over").alias("overfull")), "container")
+
+
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source of the targets: records used more often than allowed, and sources without a row."""
+    docs, targets = read_table(spark, sf_dir, "documents", spread=True), read_table(spark, sf_dir, "mix_targets")
+    mixed, report = mixing.mix(docs, targets)
+    often = mixed.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("times")).join(targets.select("source", "max_repeats"), "source")
+    bad = often.groupBy("source").agg(F.count_if(F.col("times") > F.col("max_repeats")).alias("too_often"))
+    rows = report.join(bad, "source", "left")
+    return rows.select("source", "target_share", "max_repeats", F.coalesce("too_often", F.lit(0)).alias("too_often"), (F.col("taken") > 0).alias("used"))
+
+
 def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents", spread=True), read_table(spark, sf_dir, "mix_targets"))[0]
 
@@ -109,8 +133,10 @@ QUERIES = {
     "p5_repaired": p5_repaired,
     "p6_packed": p6_packed,
     "p6_report": p6_report,
+    "p6_checks": p6_checks,
     "p7_mixed": p7_mixed,
     "p7_shares": p7_shares,
+    "p7_checks": p7_checks,
     "p8_found": p8_found,
     "p8_restored": p8_restored,
 }
@@ -181,6 +207,10 @@ ORACLE = {
 SELECT p.ctx_id, p.src, CASE WHEN r.lines_removed > 0 THEN r.text ELSE p.text END AS text,
        CAST(coalesce(r.lines_removed, 0) AS INTEGER) AS lines_removed
 FROM contexts p LEFT JOIN rebuilt r USING (ctx_id) WHERE p.form = 'page'""",
+    "p6_checks": """SELECT c.container, (SELECT count(*) FROM documents WHERE text IS NOT NULL) AS whole, 0::BIGINT AS cut, 0::BIGINT AS overfull
+FROM containers c WHERE capacity_tokens >= 1""",
+    "p7_checks": """SELECT t.source, t.target_share, t.max_repeats, 0::BIGINT AS too_often,
+  coalesce(t.max_repeats > 0 AND t.target_share > 0 AND t.source IN (SELECT source FROM documents WHERE text <> ''), false) AS used FROM mix_targets t""",
     "p2_found": _P2_KEYED
     + "SELECT first_id, ctx_id AS copy_id FROM firsts WHERE ctx_id <> first_id",
     "p2_collapsed": _P2_KEYED

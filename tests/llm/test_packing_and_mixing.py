@@ -79,6 +79,36 @@ def test_windows_carry_over():
     assert max(fill.values()) <= 100
 
 
+def test_neighbours_on_the_curve_share_containers(spark):
+    random.seed(3)
+    topics = [[f"{c}{i}" for i in range(40)] for c in "kmtz"]
+    rows = [(i, " ".join(random.choices(random.choice(topics), k=random.randrange(5, 60)))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sizes = spark.createDataFrame([("s", 600)], "container string, capacity_tokens int")
+    packed = P.pack(df, sizes)
+    report = P.packing_report(packed).first()
+    places = [r["place"] for r in packed.collect()]
+    random.shuffle(places)
+    at_random = np.mean([abs(a - b) for a, b in zip(places[::2], places[1::2])]) / 2.0 ** (P.DIMS * P.BITS)
+    assert report["span"] < 0.5 * at_random and report["filled"] > 0.9
+
+
+def test_every_source_is_within_a_document_of_the_best_reachable_share(spark):
+    df, rows = documents(spark, 600)
+    shares = {"a": (0.3, 1), "b": (0.4, 3), "c": (0.3, 2)}
+    targets = spark.createDataFrame([(s, *v) for s, v in shares.items()], "source string, target_share double, max_repeats int")
+    taken = {r["source"]: r["taken"] for r in M.mix(df, targets)[1].collect()}
+    sizes = {s: [count_tokens(t) for _, t, x in rows if x == s and t is not None] for s in shares}
+    budget = sum(map(sum, sizes.values()))
+    lo, hi = 0.0, 1e9
+    for _ in range(200):
+        time = (lo + hi) / 2
+        reach = {s: min(share * time, sum(sizes[s]) * most) for s, (share, most) in shares.items()}
+        lo, hi = (time, hi) if sum(reach.values()) < budget else (lo, time)
+    for s in shares:
+        assert abs(taken[s] - reach[s]) <= max(sizes[s]) + 1, (s, taken, reach)
+
+
 def test_end_time():
     assert M.end_time([(0.5, 100), (0.5, 10)], 40) == 60
     assert M.end_time([(0.5, 10), (0.5, 10)], 100) == 20
