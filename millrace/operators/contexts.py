@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.text import WS, inflections, phrase_pattern, phrase_words, sentence_pieces
+from millrace.functions.text import WS, inflections, phrase_pattern, phrase_words, sentence_pieces, sid
 from millrace.operators.ranking import global_rank
 from millrace.plans.checkpoints import cut
 
@@ -88,21 +88,20 @@ def headword_occurrences(sentences: DataFrame, headwords: DataFrame) -> DataFram
 
 
 def headword_contexts(sentences: DataFrame, headwords: DataFrame, src: str, order: list[str]) -> DataFrame:
-    """(word, id, sentence, n, hits, src): unique sentences of each word, interleaved by source.
+    """(word, id, sid, n, hits, src): unique sentences of each word, interleaved by source.
 
     A sentence belongs to the source where it stands first in `order`; a word's sentences take
-    turns through its sources, and `id` is the place in that sequence.
+    turns through its sources, and `id` is the place in that sequence. Only content ids are ranked;
+    whoever needs the texts joins them by `sid`.
     """
-    hits = headword_occurrences(sentences, headwords)
-    per_row = hits.groupBy("word", "sentence", src, *order).agg(F.count(F.lit(1)).alias("k"))
+    hits = headword_occurrences(sentences.withColumn("sid", sid(F.col("sentence"))), headwords)
+    per_row = hits.groupBy("word", "sid", src, *order).agg(F.count(F.lit(1)).alias("k"))
     first = F.min(F.struct(*order, F.col(src).alias("src")))
-    unique = per_row.groupBy("word", "sentence").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("k").alias("hits"), first.alias("f")
-    )
-    flat = unique.select("word", "sentence", "n", "hits", F.col("f.src").alias("src"), *[F.col(f"f.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    turns = global_rank(flat, ["word", "src"], [*[f"_o{i}" for i in range(len(order))], "sentence"], "turn")
+    unique = per_row.groupBy("word", "sid").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("hits"), first.alias("f"))
+    flat = unique.select("word", "sid", "n", "hits", F.col("f.src").alias("src"), *[F.col(f"f.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+    turns = global_rank(flat, ["word", "src"], [f"_o{i}" for i in range(len(order))], "turn").select("word", "sid", "n", "hits", "src", "turn")
     placed = global_rank(turns, ["word"], ["turn", "src"], "place")
-    return placed.select("word", (F.col("place") - 1).alias("id"), "sentence", "n", "hits", "src")
+    return placed.select("word", (F.col("place") - 1).alias("id"), "sid", "n", "hits", "src")
 
 
 def chunk(df: DataFrame, group: list[str], order: list[Column | str], size: int) -> DataFrame:
@@ -112,9 +111,7 @@ def chunk(df: DataFrame, group: list[str], order: list[Column | str], size: int)
 
 
 def stripe(df: DataFrame, order: list[Column | str], per_task: int) -> DataFrame:
-    """`task` of each row when ceil(rows / per_task) tasks take rows in turn.
-
-    """
+    """`task` of each row when ceil(rows / per_task) tasks take rows in turn."""
     total = df.agg(F.ceil(F.count(F.lit(1)) / per_task).alias("_tasks"))
     placed = global_rank(df, [], order, "_rn").join(F.broadcast(total))
     return placed.withColumn("task", F.pmod(F.col("_rn") - 1, F.col("_tasks")).cast("int")).drop("_rn", "_tasks")

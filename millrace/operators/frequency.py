@@ -122,6 +122,7 @@ def in_all_units(df_table: DataFrame, n_units: DataFrame) -> DataFrame:
 
 
 def prefix_offsets(df: DataFrame, group: list[str], order: list[Column], size: Column) -> DataFrame:
-    """`offset` of each row among the concatenated sizes of its group."""
-    w = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn("offset", F.sum(size).over(w) - size)
+    """`offset` of each row among the concatenated sizes of its group; groups may be of any size."""
+    sized = df.withColumn("_size", size)
+    summed = global_rank(sized, group, order, "_rn", {"_upto": "_size"})
+    return summed.withColumn("offset", F.col("_upto") - F.col("_size")).drop("_rn", "_upto", "_size")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
@@ -12,6 +14,7 @@ from millrace.operators import merge as M
 from millrace.operators import senses as S
 from millrace.operators import validate as V
 from millrace.operators.ranking import global_rank
+from millrace.plans.checkpoints import shared_folder
 from millrace.plans.sql import WS, directions_cte, inflections_sql, lemma_sql, quoted, sentences_cte
 from millrace.sources import corpus, read_table, sinks
 
@@ -346,6 +349,14 @@ def numeric_keys(spark, sf_dir):
     return listed.select("section", F.array_join(F.transform("l", lambda x: x["key"]), ",").alias("keys"))
 
 
+def store_file(spark, sf_dir):
+    """Labels written as a store of JSON lines and read again."""
+    path = f"{shared_folder(spark)}/millrace_{uuid.uuid4().hex}"
+    rows = _labels(spark, sf_dir).distinct()
+    sinks.write_store(rows, path, "word")
+    return corpus.read_json_or_empty(spark, path, rows.schema, multi_line=False)
+
+
 def parsed_labels(spark, sf_dir):
     """Labels written as a label file and read again."""
     rows = _labels(spark, sf_dir).where((F.col("kind") == "sense") & F.col("sense").isNotNull()).distinct()
@@ -682,7 +693,9 @@ r AS (SELECT src, word, k, i, 0 AS b, k AS used FROM k WHERE i = 1 UNION ALL
 SELECT src, word, k, CAST(b AS INTEGER) AS bin FROM r""",
     "half_split": "SELECT CAST(h AS INTEGER) AS half, CASE h WHEN 1 THEN (n + 1) // 2 ELSE n // 2 END AS n, 0::BIGINT AS twice FROM (SELECT count(DISTINCT word) AS n FROM senses), (VALUES (0), (1)) t(h)",
     "label_forms": "SELECT kind, kind AS read, count(*) AS n FROM labels_norm WHERE kind IN ('x', 'new') OR (kind = 'phrase' AND phrase IS NOT NULL) OR (kind = 'sense' AND sense IS NOT NULL) GROUP BY kind",
-    "work_list": _SENT + """, r AS (SELECT word, sid AS id, string_split_regex(substr(lower(text), instr(lower(text), lower(word)) + length(word)), '[^a-z]+') AS ts FROM sent)
+    "work_list": _SENT + """, r AS (SELECT word, sid AS id, string_split_regex(CASE WHEN text IS NULL THEN '' ELSE substr(lower(text), hit + length(word)) END, '[^a-z]+') AS ts FROM (
+  SELECT *, CASE WHEN regexp_matches(lower(text), '^' || lower(word) || '([^a-z-]|$)') THEN 1 WHEN NOT regexp_matches(lower(text), '[^a-z''’-]' || lower(word) || '([^a-z-]|$)') THEN length(text) + 1
+    ELSE length(regexp_extract(lower(text), '(?s)^(.*?[^a-z''’-])' || lower(word) || '(?:[^a-z-]|$)', 1)) + 1 END AS hit FROM sent))
 SELECT word, id, array_to_string(list_slice(list_filter(ts, lambda t: t <> ''), 1, 4), ' ') AS after FROM r""",
     "review_blocks": _WEIGHT + """, named AS (SELECT k.word, k.place, w.hits, coalesce(s.pos, '') AS pos, coalesce(s.zh, '') AS zh FROM kept k JOIN weights w USING (word, sense) JOIN senses s ON s.word = k.word AND s.idx = k.sense)
 SELECT word, '## ' || word || chr(10) || string_agg('- ' || place || '. ' || pos || zh || ' (' || hits || ')', chr(10) ORDER BY place) AS block FROM named GROUP BY word""",
@@ -720,6 +733,7 @@ UNION ALL SELECT 'new sense', count(*) FROM labels_norm WHERE kind = 'new'""",
     "clip_filters": "SELECT example_id, base64(encode(en)) AS b64 FROM sense_examples WHERE strlen(en) >= 60 AND ((zh IS NOT NULL AND length(en) > 100) OR (zh IS NULL AND length(en) <= 100))",
     "entry_slice": "SELECT edition, word, CAST(row_number() OVER (PARTITION BY edition ORDER BY rank, word) AS INTEGER) AS place FROM entries_full QUALIFY place BETWEEN 51 AND 100",
     "numeric_keys": "SELECT section, string_agg(CAST(rank AS VARCHAR), ',' ORDER BY rank) AS keys FROM (SELECT DISTINCT section, rank FROM entries_full) GROUP BY section",
+    "store_file": "SELECT DISTINCT * FROM labels_norm",
     "parsed_labels": """WITH l AS (SELECT DISTINCT * FROM labels_norm WHERE kind = 'sense' AND sense IS NOT NULL),
 w AS (SELECT word, CAST(('0x' || substr(sid, 1, 6)) AS BIGINT) AS id, sense FROM l), r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY id || ' ' || sense) + 1 AS line_no FROM w)
 SELECT word AS file, CAST(line_no AS INTEGER) AS line_no, word, 'label' AS kind, CAST(id AS INTEGER) AS id, CAST(sense AS VARCHAR) AS label, NULL AS note FROM r
@@ -744,7 +758,7 @@ QUERIES = {
         alias_merge, veto_anti, entry_assembly, dataset_counters, slim_entries, root_parts, hash_diff_incremental,
         insert_only_defaults, patch_overlay, store_fold, override_matches, group_index, function_senses, prefix_offsets, section_changes,
         instruction_sentences, windowed_weights, promoted_senses, core_cards, whole_source, shown_senses, full_definitions, phrase_fallback, phrases_seen,
-        full_assembly, task_checks, missing_groups, legacy_keys, clip_filters, entry_slice, numeric_keys, parsed_labels, parsed_entries, phrase_hints,
+        full_assembly, task_checks, missing_groups, legacy_keys, clip_filters, entry_slice, numeric_keys, store_file, parsed_labels, parsed_entries, phrase_hints,
         phrase_hits, half_split, label_forms, work_list, review_blocks, vector_levels, chunk_fixed, stripe, pack_next_fit, loud_gain, inflected_forms, html_inline, context_table,
     )
 }

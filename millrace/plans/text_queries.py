@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from millrace.functions import text as T
 from millrace.operators import contexts as C
 from millrace.operators import frequency as Q
 from millrace.plans.sql import WS, clean_sql, directions_cte, lemma_sql, sentences_cte, tokens_cte
-from millrace.sources import read_table
+from millrace.plans.checkpoints import shared_folder
+from millrace.sources import corpus, read_table, sinks
 
 LEAST_CHARS = 3000
 
@@ -151,8 +154,7 @@ def _src_sentences(spark, sf_dir):
 
 
 def headword_contexts(spark, sf_dir):
-    out = C.headword_contexts(_src_sentences(spark, sf_dir), _headwords(spark, sf_dir), "src", ["doc_id", "pos"])
-    return out.select("word", "id", T.sid(F.col("sentence")).alias("sid"), "n", "hits", "src")
+    return C.headword_contexts(_src_sentences(spark, sf_dir), _headwords(spark, sf_dir), "src", ["doc_id", "pos"])
 
 
 def first_contexts(spark, sf_dir):
@@ -169,6 +171,13 @@ def top_words(spark, sf_dir):
     return Q.top_terms(_tokens(spark, sf_dir, []), 25)
 
 
+def ranked_file(spark, sf_dir):
+    """The ranked list written as CSV and its first 500 ranks read again."""
+    path = f"{shared_folder(spark)}/millrace_{uuid.uuid4().hex}"
+    sinks.write_ranked(tf_surface(spark, sf_dir), path)
+    return corpus.read_ranked(spark, path, 500)
+
+
 def directions_blocks(spark, sf_dir):
     """Lines of Directions blocks; every tenth document is given one in front, as the tables hold none."""
     front = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("Directions: For this part you\nare to write\n\n"), "text")).otherwise(F.col("text"))
@@ -219,7 +228,7 @@ QUERIES = {
     for f in (
         tf_surface, tf_lemma, df_rank, headword_list, df_in_all_sets, cutoff_80, tf_df_overlap, coverage_per_doc, coverage_summary,
         stub_sets, contraction_repair, clean_texts, window_scan, set_names, stub_filters, sentences, sentence_ids,
-        sentence_multiplicity, boilerplate, headword_contexts, first_contexts, headword_totals, top_words, directions_blocks, peek_context,
+        sentence_multiplicity, boilerplate, headword_contexts, first_contexts, headword_totals, top_words, ranked_file, directions_blocks, peek_context,
     )
 }
 ORACLE = {
@@ -251,6 +260,7 @@ FROM (SELECT length(regexp_replace(coalesce(text, ''), '^{WS}+|{WS}+$', '', 'g')
   , pos FROM documents d JOIN sentences s USING (doc_id)), i AS (SELECT *, instr(text, key) AS hit FROM k)
 SELECT doc_id, pos, CASE WHEN hit > 0 THEN md5(substr(text, greatest(hit - 700, 1), hit - greatest(hit - 700, 1) + length(key) + 700)) END AS h FROM i""",
     "headword_list": f"{_DF} SELECT rank, word FROM dfr WHERE rank <= 1250",
+    "ranked_file": f"{_TOK}, {_TF} SELECT * FROM tf WHERE rank <= 500",
     "directions_blocks": f"WITH fronted AS ({_FRONT}), {directions_cte('fronted', 'doc_id')} SELECT * FROM blocks",
     "headword_totals": f"{_SRC} SELECT word, count(*) AS total, count(DISTINCT src) AS sources FROM occ GROUP BY word",
 }

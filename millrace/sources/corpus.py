@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -52,11 +51,14 @@ def read_ranked(spark: SparkSession, path: str, n: int | None = None, schema: st
     return rows if n is None else rows.where(F.col("rank") <= n)
 
 
-def read_json_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A JSON file, or no rows of its schema where there is none."""
-    if "://" not in path and not os.path.exists(path):
+def read_json_or_empty(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
+    """A JSON file (or, without `multi_line`, JSON lines), or no rows of its schema where there is
+    none; on any file system Spark knows."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
         return spark.createDataFrame([], schema)
-    return spark.read.json(path, schema=schema, multiLine=True)
+    return spark.read.json(path, schema=schema, multiLine=multi_line)
 
 
 def task_files(spark: SparkSession, folder: str, done: bool = False) -> DataFrame:
@@ -109,6 +111,29 @@ def parse_labels(texts: DataFrame, key: list[str], body: str) -> DataFrame:
     )
 
 
+def label_faults(labels: DataFrame, expected: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """(task, word, id, fault) of parsed label files against the `expected` (task, word, id).
+
+    Faults: `bad line`, `unknown section`, `missing section`, `unknown id`, `id twice`, and `missing id`
+    but for words of `exceptions`, whose gaps take a default.
+    """
+    none = F.lit(None).cast("int")
+    sections, asked = labels.where(F.col("word").isNotNull()).select("task", "word").distinct(), expected.select("task", "word").distinct()
+    told = labels.where(F.col("kind") == "label").select("task", "word", "id")
+    fault = lambda d, name: d.select("task", "word", "id", F.lit(name).alias("fault"))
+    missing = expected.join(told, ["task", "word", "id"], "left_anti")
+    if exceptions is not None:
+        missing = missing.join(exceptions.select("word").distinct(), "word", "left_anti")
+    return (
+        fault(labels.where(F.col("kind") == "bad").withColumn("id", none), "bad line")
+        .unionByName(fault(sections.join(asked, ["task", "word"], "left_anti").withColumn("id", none), "unknown section"))
+        .unionByName(fault(asked.join(sections, ["task", "word"], "left_anti").withColumn("id", none), "missing section"))
+        .unionByName(fault(told.join(asked, ["task", "word"], "left_semi").join(expected, ["task", "word", "id"], "left_anti"), "unknown id"))
+        .unionByName(fault(told.groupBy("task", "word", "id").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "id twice"))
+        .unionByName(fault(missing.join(sections, ["task", "word"], "left_semi"), "missing id"))
+    )
+
+
 def fill_defaults(expected: DataFrame, labels: DataFrame, defaults: DataFrame) -> DataFrame:
     """(task, word, id, label, filled): labels of every expected sentence, gaps of words with a
     default filled with it; gaps of other words stay null."""

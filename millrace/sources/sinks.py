@@ -32,7 +32,9 @@ def review_lines(senses: DataFrame, phrases: DataFrame | None = None) -> DataFra
 
 
 def work_list(contexts: DataFrame, following: int = 4) -> DataFrame:
-    """Sentences of a work list ordered by what follows the headword, then id."""
-    rest = F.expr("substring(lower(sentence), instr(lower(sentence), lower(word)) + length(word))")
+    """Sentences of a work list ordered by what follows the headword as a whole word, then id."""
+    word = F.concat(F.lit(r"(?<![a-z'’-])\Q"), F.lower("word"), F.lit(r"\E(?![a-z-])"))
+    at = F.regexp_instr(F.lower("sentence"), word)
+    rest = F.when(at > 0, F.substring(F.lower("sentence"), at + F.length("word"), F.length("sentence"))).otherwise("")
     key = F.slice(F.filter(F.split(rest, "[^a-z]+"), lambda t: t != ""), 1, following)
     return contexts.withColumn("after", key).orderBy("word", "after", "id")

@@ -189,6 +189,39 @@ def test_label_file(spark):
     ]
 
 
+def test_label_faults(spark):
+    body = "# to\n1 0\n1 X\n9 0\nwhat\n# odd\n1 0"
+    labels = corpus.parse_labels(spark.createDataFrame([("f", body)], "task string, body string"), ["task"], "body")
+    expected = spark.createDataFrame([("f", "to", 1), ("f", "to", 2), ("f", "be", 1)], "task string, word string, id int")
+    faults = corpus.label_faults(labels, expected)
+    assert sorted((r["word"], r["id"] or 0, r["fault"]) for r in faults.collect()) == [
+        ("be", 0, "missing section"), ("odd", 0, "unknown section"), ("to", 0, "bad line"), ("to", 1, "id twice"), ("to", 2, "missing id"), ("to", 9, "unknown id"),
+    ]
+    eased = corpus.label_faults(labels, expected, spark.createDataFrame([("to",)], "word string"))
+    assert eased.where("fault = 'missing id'").count() == 0
+
+
+def test_sources_that_are_wrong_or_absent(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "papers").mkdir()
+    (tmp_path / "papers" / "notes.txt").write_text("x", encoding="utf-8")
+    with pytest.raises(Exception, match="no year in file name"):
+        corpus.read_corpus(spark, str(tmp_path), ["papers"]).collect()
+    assert corpus.read_json_or_empty(spark, f"file://{tmp_path}/none.json", "a int").count() == 0
+    (tmp_path / "A_r1_01.json").write_text("[1]", encoding="utf-8")
+    (tmp_path / "A_r1_01.out.json").write_text("{}", encoding="utf-8")
+    assert rows(corpus.task_files(spark, str(tmp_path)), "stem", "body") == [("A_r1_01", "[1]")]
+    assert rows(corpus.task_files(spark, str(tmp_path), done=True), "stem", "body") == [("A_r1_01", "{}")]
+    (tmp_path / "window.json").write_text('{"years": [2021, "2022"]}', encoding="utf-8")
+    assert corpus.window_years(str(tmp_path / "window.json")) == [2021, 2022]
+    store = spark.createDataFrame([("b", 1), ("a", 2)], "k string, v int")
+    sinks.write_store(store, str(tmp_path / "store"), "k")
+    with pytest.raises(Exception, match="(?i)exist"):
+        sinks.write_store(store, str(tmp_path / "store"), "k")
+    assert rows(corpus.read_json_or_empty(spark, str(tmp_path / "store"), store.schema, multi_line=False), "k", "v") == [("a", 2), ("b", 1)]
+
+
 def test_entry_file(spark):
     body = "[1] go\n英[a] 美[b]\n释义: v.走\n—— Section 2 ——\n[2] to do\n例句（自编）：W: Oh：no（哦）\n词频 3\n[3] x"
     df = spark.createDataFrame([("f", body)], "f string, body string")
@@ -198,6 +231,18 @@ def test_entry_file(spark):
     ]
 
 
+def test_review_lines_with_phrases(spark):
+    senses = spark.createDataFrame([("go", 1, "v.", "走", 3), ("go", 2, None, None, 1)], "word string, place int, pos string, zh string, hits bigint")
+    phrases = spark.createDataFrame([(["go", "on"], "go on", 2), (["go"], "go by", 5)], "words array<string>, phrase string, count bigint")
+    block = sinks.review_lines(senses, phrases).first()["block"]
+    assert block == "## go\n- 1. v.走 (3)\n- 2.  (1)\n- go by ×5\n- go on ×2"
+
+
+def test_work_list_takes_the_whole_word(spark):
+    df = spark.createDataFrame([(1, "it", "Italy likes it very much"), (2, "it", "no hit"), (3, "it", "it")], "id int, word string, sentence string")
+    assert {r["id"]: r["after"] for r in sinks.work_list(df).collect()} == {1: ["very", "much"], 2: [], 3: []}
+
+
 def test_markdown_blocks(spark):
     body = "intro\n\n### 1. Head\n\n| a | b |\n| --- | --- |\n| c | d |\n\n* one\n\n* two\ntail"
     df = spark.createDataFrame([("f", body)], "f string, body string")
