@@ -112,9 +112,11 @@ def set_names(spark, sf_dir):
 
 
 def stub_filters(spark, sf_dir):
+    """Documents by length of their stripped text; those without any corpus word stand apart."""
     n = F.length(T.strip(F.coalesce("text", F.lit(""))))
-    rows = _docs(spark, sf_dir).withColumn("band", F.when(n < 200, "short").when(n < 3000, "stub").otherwise("full"))
-    return rows.groupBy("band").agg(F.count(F.lit(1)).alias("docs"))
+    no_words = F.size(T.word_tokens(F.coalesce("text", F.lit("")))) == 0
+    band = F.when(n < 200, "short").when(no_words, "no words").when(n < 3000, "stub").otherwise("full")
+    return _docs(spark, sf_dir).withColumn("band", band).groupBy("band").agg(F.count(F.lit(1)).alias("docs"))
 
 
 def _sentences(spark, sf_dir):
@@ -247,8 +249,8 @@ GROUP BY set_key HAVING NOT coalesce(sum(length(text)) >= {LEAST_CHARS}, false)"
     "clean_texts": f"SELECT doc_id, substr(sha256({clean_sql()}), 1, 16) AS h FROM documents",
     "window_scan": "SELECT sub, exam_year, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE exam_year BETWEEN 2021 AND 2024 GROUP BY ALL",
     "set_names": "SELECT doc_id, set_key || CASE WHEN sub = 'listening' THEN '·听力' ELSE '' END AS src, substr(set_key, 1, 7) AS sitting FROM documents WHERE set_key IS NOT NULL",
-    "stub_filters": f"""SELECT CASE WHEN n < 200 THEN 'short' WHEN n < 3000 THEN 'stub' ELSE 'full' END AS band, count(*) AS docs
-FROM (SELECT length(regexp_replace(coalesce(text, ''), '^{WS}+|{WS}+$', '', 'g')) AS n FROM documents) GROUP BY 1""",
+    "stub_filters": f"""{_TOK} SELECT CASE WHEN n < 200 THEN 'short' WHEN doc_id NOT IN (SELECT doc_id FROM tokens) THEN 'no words' WHEN n < 3000 THEN 'stub' ELSE 'full' END AS band, count(*) AS docs
+FROM (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '^{WS}+|{WS}+$', '', 'g')) AS n FROM documents) GROUP BY 1""",
     "sentences": "WITH " + sentences_cte("documents", "doc_id") + " SELECT doc_id, pos, md5(sentence) AS h FROM sentences",
     "sentence_ids": "WITH " + sentences_cte("documents", "doc_id") + " SELECT substr(sha1(sentence), 1, 16) AS sid, count(*) AS n FROM sentences GROUP BY 1",
     "sentence_multiplicity": f"{_MULT} SELECT * FROM mult",
