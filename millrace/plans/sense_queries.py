@@ -365,6 +365,26 @@ def parsed_labels(spark, sf_dir):
     return corpus.parse_labels(texts, ["file"], "body").select("file", "line_no", "word", "kind", "id", "label", "note")
 
 
+def label_file_faults(spark, sf_dir):
+    """Faults of label files written from the labels, against the sentences of their words."""
+    number = F.conv(F.substring("sid", 1, 6), 16, 10)
+    rows = _labels(spark, sf_dir).where((F.col("kind") == "sense") & F.col("sense").isNotNull()).distinct()
+    lines = rows.groupBy("word").agg(F.array_sort(F.collect_list(F.concat(number, F.lit(" "), F.col("sense").cast("string")))).alias("l"))
+    texts = lines.select(F.col("word").alias("task"), F.concat(F.lit("# "), "word", F.lit("\n"), F.array_join("l", "\n")).alias("body"))
+    asked = _sentences(spark, sf_dir).join(rows.select("word").distinct(), "word", "left_semi")
+    expected = asked.select(F.col("word").alias("task"), "word", number.cast("int").alias("id")).distinct()
+    return corpus.label_faults(corpus.parse_labels(texts, ["task"], "body"), expected).select("word", "id", "fault")
+
+
+def sense_pages(spark, sf_dir):
+    """A Markdown page per word, read again as blocks."""
+    rows = _senses(spark, sf_dir).where(F.trim("zh") != "")
+    items = rows.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("idx", F.concat(F.lit("* "), F.trim("zh")).alias("t")))).alias("l"))
+    body = F.concat(F.lit("### "), "word", F.lit("\n\n"), F.array_join(F.transform("l", lambda x: x["t"]), "\n\n"))
+    blocks = corpus.markdown_blocks(items.select("word", body.alias("body")), ["word"], "body")
+    return blocks.select("word", F.col("block").cast("int").alias("block"), "kind", F.array_join("rows", "|").alias("rows"))
+
+
 def parsed_entries(spark, sf_dir):
     """Entries written in their text form and read again."""
     text = F.concat(
@@ -738,6 +758,15 @@ UNION ALL SELECT 'new sense', count(*) FROM labels_norm WHERE kind = 'new'""",
 w AS (SELECT word, CAST(('0x' || substr(sid, 1, 6)) AS BIGINT) AS id, sense FROM l), r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY id || ' ' || sense) + 1 AS line_no FROM w)
 SELECT word AS file, CAST(line_no AS INTEGER) AS line_no, word, 'label' AS kind, CAST(id AS INTEGER) AS id, CAST(sense AS VARCHAR) AS label, NULL AS note FROM r
 UNION ALL SELECT word, CAST(count(*) + 2 AS INTEGER), word, 'note', NULL, NULL, 'none' FROM w GROUP BY word""",
+    "label_file_faults": _SENT + """, l AS (SELECT DISTINCT * FROM labels_norm WHERE kind = 'sense' AND sense IS NOT NULL),
+t AS (SELECT word, CAST(('0x' || substr(sid, 1, 6)) AS INTEGER) AS id FROM l),
+e AS (SELECT DISTINCT word, CAST(('0x' || substr(sid, 1, 6)) AS INTEGER) AS id FROM sent WHERE word IN (SELECT word FROM l))
+SELECT word, id, 'unknown id' AS fault FROM t WHERE word IN (SELECT word FROM e) AND (word, id) NOT IN (SELECT word, id FROM e)
+UNION ALL SELECT word, id, 'id twice' FROM t GROUP BY word, id HAVING count(*) > 1
+UNION ALL SELECT word, id, 'missing id' FROM e WHERE (word, id) NOT IN (SELECT word, id FROM t)
+UNION ALL (SELECT DISTINCT word, CAST(NULL AS INTEGER), 'unknown section' FROM t WHERE word NOT IN (SELECT word FROM e))""",
+    "sense_pages": """WITH s AS (SELECT word, string_agg(trim(zh), '|' ORDER BY idx) AS r FROM senses WHERE trim(zh) <> '' GROUP BY word)
+SELECT word, 1 AS block, 'heading' AS kind, word AS rows FROM s UNION ALL SELECT word, 2, 'bullets', r FROM s""",
     "parsed_entries": "SELECT entry_id, rank, word, section, coalesce(uk, '') AS uk, coalesce(us, '') AS us, coalesce(trim(def), '') AS def, '例句' AS ex_label, '' AS ex FROM entries_full",
     "phrase_hits": _SENT + ", " + _PHRASES + " SELECT DISTINCT phrase, sid, CAST(\"at\" AS INTEGER) AS \"at\", CAST(upto AS INTEGER) AS upto FROM hits",
     "phrase_hints": _SENT + ", " + _PHRASES + r""", w AS (
@@ -758,7 +787,7 @@ QUERIES = {
         alias_merge, veto_anti, entry_assembly, dataset_counters, slim_entries, root_parts, hash_diff_incremental,
         insert_only_defaults, patch_overlay, store_fold, override_matches, group_index, function_senses, prefix_offsets, section_changes,
         instruction_sentences, windowed_weights, promoted_senses, core_cards, whole_source, shown_senses, full_definitions, phrase_fallback, phrases_seen,
-        full_assembly, task_checks, missing_groups, legacy_keys, clip_filters, entry_slice, numeric_keys, store_file, parsed_labels, parsed_entries, phrase_hints,
+        full_assembly, task_checks, missing_groups, legacy_keys, clip_filters, entry_slice, numeric_keys, store_file, parsed_labels, label_file_faults, sense_pages, parsed_entries, phrase_hints,
         phrase_hits, half_split, label_forms, work_list, review_blocks, vector_levels, chunk_fixed, stripe, pack_next_fit, loud_gain, inflected_forms, html_inline, context_table,
     )
 }

@@ -11,7 +11,7 @@ from millrace.functions import text as T
 from millrace.operators import contexts as C
 from millrace.operators import frequency as Q
 from millrace.plans.sql import WS, clean_sql, directions_cte, lemma_sql, sentences_cte, tokens_cte
-from millrace.plans.checkpoints import shared_folder
+from millrace.plans.checkpoints import cut, shared_folder
 from millrace.sources import corpus, read_table, sinks
 
 LEAST_CHARS = 3000
@@ -68,13 +68,12 @@ def tf_df_overlap(spark, sf_dir):
     return Q.list_overlap(tf, df_rank(spark, sf_dir), Q.cumulative_cutoff(tf).select("cutoff"))
 
 
-def _top(spark, sf_dir):
-    tf = _tf_running(spark, sf_dir)
-    return tf.join(F.broadcast(Q.cumulative_cutoff(tf).select("cutoff")), F.col("rank") <= F.col("cutoff"))
-
-
 def coverage_per_doc(spark, sf_dir):
-    return Q.coverage(_tokens(spark, sf_dir, ["doc_id"]), "doc_id", _top(spark, sf_dir))
+    """Words are counted per document once, written, and summed up to the list as well."""
+    per_doc = cut(_tokens(spark, sf_dir, ["doc_id"]))
+    tf = Q.term_frequency(per_doc, running=True)
+    top = tf.join(F.broadcast(Q.cumulative_cutoff(tf).select("cutoff")), F.col("rank") <= F.col("cutoff"))
+    return Q.coverage(per_doc, "doc_id", top)
 
 
 def coverage_summary(spark, sf_dir):
