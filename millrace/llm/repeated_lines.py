@@ -185,8 +185,9 @@ def _repeated(df: DataFrame, columns: tuple[str, str, str], min_docs: int, min_s
     _, _, leaves = _leaves(df, columns, min_docs, min_share, False)
     leaf = ["_src", "_node", "_template"]
     covering = leaves.groupBy(*leaf, "_need").agg(F.sum("_docs").alias("_lines")).where(F.col("_lines") >= F.col("_need"))
-    verified = leaves.join(covering.select(*leaf), leaf).where(F.col("_docs") >= F.col("_need"))
-    return _sized(verified.groupBy("_src").agg(F.collect_list("_c").alias("_found")))
+    verified = cut(leaves.join(covering.select(*leaf), leaf).where(F.col("_docs") >= F.col("_need")).select("_src", "_c"))
+    found = verified.groupBy("_src").agg(F.collect_list("_c").alias("_found"))
+    return F.broadcast(found) if verified.count() <= BROADCAST_ROWS else found
 
 
 def find_repeated_lines(
