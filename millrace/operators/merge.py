@@ -96,6 +96,23 @@ def fold_store(rows: DataFrame, key: list[str], order: Column, last: list[str] |
     return rows.groupBy(*key).agg(*aggs)
 
 
+def append_new(store: DataFrame, new: DataFrame, key: str, value: list[str], index: str, order: str) -> DataFrame:
+    """`store` with the new values of a key behind its own, each once, in the order they came in.
+
+    A value the key already holds keeps its index; the next index follows the key's largest.
+    """
+    first = new.groupBy(key, *value).agg(F.min(order).alias("_o"))
+    known = store.select(F.col(key).alias("_k"), *[F.col(v).alias(f"_v{i}") for i, v in enumerate(value)])
+    same = F.col(key) == F.col("_k")
+    for i, v in enumerate(value):
+        same = same & F.col(v).eqNullSafe(F.col(f"_v{i}"))
+    fresh = first.join(known, same, "left_anti")
+    last = store.groupBy(key).agg(F.max(index).alias("_last"))
+    place = F.row_number().over(W.partitionBy(key).orderBy("_o"))
+    added = fresh.withColumn("_n", place).join(last, key, "left").withColumn(index, (F.coalesce("_last", F.lit(-1)) + F.col("_n")).cast("int"))
+    return store.select(key, index, *value).unionByName(added.select(key, index, *value))
+
+
 def single_match(overrides: DataFrame, senses: DataFrame) -> DataFrame:
     """Override names to sense numbers with the count of matches; it must be 1."""
     named = senses.select("word", "idx", F.concat(F.coalesce("pos", F.lit("")), F.coalesce("zh", F.lit(""))).alias("name"))

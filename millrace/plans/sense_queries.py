@@ -443,6 +443,13 @@ def store_fold(spark, sf_dir):
     return M.fold_store(rows, ["word", "sid"], F.struct("ord", "kind", "sense"), last=["kind"], first=["sense"])
 
 
+def appended_senses(spark, sf_dir):
+    """The first two senses of a word as its store, all glosses as answers: new ones are appended."""
+    s = _senses(spark, sf_dir)
+    out = M.append_new(s.where(F.col("idx") <= 1), s, "word", ["pos", "zh"], "idx", "idx")
+    return out.select("word", "idx", "pos", "zh")
+
+
 def override_matches(spark, sf_dir):
     s = _senses(spark, sf_dir)
     names = s.select("word", F.concat(F.coalesce("pos", F.lit("")), F.coalesce("zh", F.lit(""))).alias("name")).distinct()
@@ -697,6 +704,11 @@ SELECT word, p AS edition_no, sha FROM h WHERE NOT EXISTS (SELECT 1 FROM h b WHE
     "patch_overlay": _EDS + """, n AS (SELECT word, us, uk FROM eds QUALIFY row_number() OVER (PARTITION BY word ORDER BY p DESC) = 1)
 SELECT word, CASE WHEN word IN (SELECT word FROM labels_norm WHERE kind = 'x') THEN NULL ELSE us END AS us, uk FROM n""",
     "store_fold": "SELECT word, sid, arg_max(kind, {'o': ord, 'k': kind, 's': coalesce(sense, -1)}) AS kind, arg_min(coalesce(sense, -1), {'o': ord, 'k': kind, 's': coalesce(sense, -1)}) AS sense FROM labels_norm GROUP BY word, sid",
+    "appended_senses": """WITH st AS (SELECT * FROM senses WHERE idx <= 1), nw AS (SELECT word, pos, zh, min(idx) AS o FROM senses GROUP BY ALL),
+fr AS (SELECT * FROM nw WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.word = nw.word AND st.pos IS NOT DISTINCT FROM nw.pos AND st.zh IS NOT DISTINCT FROM nw.zh)),
+la AS (SELECT word, max(idx) AS last FROM st GROUP BY word)
+SELECT word, idx, pos, zh FROM st UNION ALL
+SELECT word, CAST(coalesce(last, -1) + row_number() OVER (PARTITION BY word ORDER BY o) AS INTEGER), pos, zh FROM fr LEFT JOIN la USING (word)""",
     "override_matches": f"SELECT word, {_FULL} AS name, min(idx) AS idx, count(*) AS matches FROM senses GROUP BY 1, 2",
     "group_index": "SELECT pos, count(*) AS n, string_agg(word, ' ' ORDER BY word) AS words FROM (SELECT DISTINCT coalesce(pos, '') AS pos, lower(word) AS word FROM senses) GROUP BY pos",
     "function_senses": _WEIGHT + """ SELECT r.word, coalesce(s.pos, '') AS pos FROM ranked r JOIN senses s ON r.word = s.word AND r.sense = s.idx
@@ -785,7 +797,7 @@ QUERIES = {
         definitions, phrase_counts, phrase_usage, unlabelled_anti, ref_violations, label_rules, duplicate_labels,
         task_key_difference, admissible_examples, english_parts, sense_terms, core_mentions, priority_merge, last_wins,
         alias_merge, veto_anti, entry_assembly, dataset_counters, slim_entries, root_parts, hash_diff_incremental,
-        insert_only_defaults, patch_overlay, store_fold, override_matches, group_index, function_senses, prefix_offsets, section_changes,
+        insert_only_defaults, patch_overlay, store_fold, appended_senses, override_matches, group_index, function_senses, prefix_offsets, section_changes,
         instruction_sentences, windowed_weights, promoted_senses, core_cards, whole_source, shown_senses, full_definitions, phrase_fallback, phrases_seen,
         full_assembly, task_checks, missing_groups, legacy_keys, clip_filters, entry_slice, numeric_keys, store_file, parsed_labels, label_file_faults, sense_pages, parsed_entries, phrase_hints,
         phrase_hits, half_split, label_forms, work_list, review_blocks, vector_levels, chunk_fixed, stripe, pack_next_fit, loud_gain, inflected_forms, html_inline, context_table,

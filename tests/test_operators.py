@@ -102,6 +102,13 @@ def test_patch_sets_null_explicitly(spark):
     assert sorted(tuple(r) for r in M.patch_fields(base, patch, "k").collect()) == [("k", None, "9"), ("l", "3", "4")]
 
 
+def test_new_values_are_appended_once(spark):
+    store = spark.createDataFrame([("a", 0, "n."), ("a", 1, None)], "w string, i int, v string")
+    new = spark.createDataFrame([("a", "v.", 3), ("a", "n.", 1), ("a", None, 2), ("a", "v.", 9), ("a", "x", 1), ("b", "y", 5)], "w string, v string, o int")
+    got = rows(M.append_new(store, new, "w", ["v"], "i", "o").na.fill("-"), "w", "i", "v")
+    assert got == [("a", 0, "n."), ("a", 1, "-"), ("a", 2, "x"), ("a", 3, "v."), ("b", 0, "y")]
+
+
 def test_alias_is_one_hop(spark):
     cards = spark.createDataFrame([("a", "1")], "w string, c string")
     alias = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "z")], "w string, same_as string")
